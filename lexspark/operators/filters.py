@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexspark.functions.ids import is_corrigendum
+from lexspark.functions.ids import is_corrigendum, is_valid_celex, is_valid_procedure, normalize_celex
 from lexspark.functions.text import label_in_language
 from lexspark.model import P_IN_SCHEME, UNIT_TYPES
 from lexspark.operators.scale import broadcast_if_small
@@ -95,3 +95,14 @@ def split_by(df: DataFrame, error: Column) -> tuple[DataFrame, DataFrame]:
     """Rows without and with an error text: (good, bad)."""
     marked = df.withColumn("_error", error)
     return marked.filter("_error IS NULL").drop("_error"), marked.filter("_error IS NOT NULL")
+
+
+def invalid_ids(ids: DataFrame, procedures: DataFrame) -> DataFrame:
+    """All malformed entries of a selection list, as rows (entry_kind, value).
+    Ids are tested after normalisation, procedure numbers as given."""
+    norm = normalize_celex(F.col("celex_id"))
+    bad_ids = ids.filter(~is_valid_celex(norm)).select(F.lit("id").alias("entry_kind"), norm.alias("value"))
+    bad_numbers = procedures.filter(~is_valid_procedure(F.col("procedure"))).select(
+        F.lit("procedure").alias("entry_kind"), F.col("procedure").alias("value")
+    )
+    return bad_ids.unionByName(bad_numbers).distinct()

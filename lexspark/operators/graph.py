@@ -123,14 +123,16 @@ def with_original(df: DataFrame, other: DataFrame, key: str = "celex_id") -> Dat
     return salted_join(left, right, "original_id", [key], how="left")
 
 
-def relations_with_original(relations: DataFrame, works: DataFrame) -> DataFrame:
+def relations_with_original(
+    relations: DataFrame, works: DataFrame, only_added: bool = False
+) -> DataFrame:
     """The relations of the original act added once for every consolidated
     text. The added rows keep the original's id as source; duplicates stay."""
     versions = works.filter(is_consolidated(F.col("celex_id"))).select(
         original_celex(F.col("celex_id")).alias("celex_source"), F.col("celex_id").alias("_version")
     )
     added = salted_join(versions, relations, "celex_source", ["_version"]).select(*relations.columns)
-    return relations.unionByName(added)
+    return added if only_added else relations.unionByName(added)
 
 
 def resolve_procedures(
