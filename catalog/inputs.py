@@ -313,7 +313,9 @@ def manifestations(spark, sf) -> DataFrame:
     ))
     rows = w.select("celex_id", "doc_id", F.inline(bodies)).join(d, "doc_id")
     html = page(F.col("text"), F.col("doc_id"), F.col("kind"))
-    return rows.select(
-        "celex_id", "role", "fmt",
-        F.when(F.col("broken"), F.concat(html, F.lit("<p>"))).otherwise(html).alias("body"),
+    tail = F.when(F.col("broken"), "<p>").otherwise("")
+    # spread like a landed table, whose files are many; it also keeps the page
+    # rule from being repeated at every use of the body
+    return rows.select("celex_id", "role", "fmt", F.concat(html, tail).alias("body")).repartition(
+        "celex_id", "role", "fmt"
     )

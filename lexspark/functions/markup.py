@@ -6,6 +6,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lexspark.functions.text import let
+
 # One token per comment, script, style, CDATA section, tag or text run. Every
 # character belongs to exactly one token, so the tokens rebuild the page.
 TOKEN = (
@@ -39,21 +41,23 @@ def raw_tokens(html: Column) -> Column:
 
 
 def token_kind(raw: Column) -> Column:
-    """open, close, void, text, comment, or skip for what is not content."""
+    """open, close, void, text or comment, of a token that is not skipped."""
     head = F.substring(raw, 1, 2)
     return (
-        F.when(F.substring(raw, 1, 1) != "<", "text")
+        F.when((F.substring(raw, 1, 1) != "<") | (raw == "<"), "text")
+        .when(head == "</", "close")
         .when(F.startswith(raw, F.lit("<!--")), "comment")
         .when(F.startswith(raw, F.lit("<![CDATA[")), "text")
-        .when(head.isin("<!", "<?"), "skip")
-        .when(raw.rlike(r"(?i)^<(script|style)\b"), "skip")
-        .when(head == "</", "close")
-        .when(raw == "<", "text")
         .when(F.endswith(raw, F.lit("/>")) | tag_name(raw).isin(*VOID_TAGS), "void")
         .otherwise("open")
     )
 
 
+def is_skipped(raw: Column) -> Column:
+    """Declarations, scripts and styles, told from the start of the token."""
+    return raw.rlike(r"(?i)^<(?:script\b|style\b|\?|!(?!--|\[CDATA\[))")
+
+
 def tag_name(raw: Column) -> Column:
     """Local name, lower case."""
     return F.lower(F.regexp_extract(raw, r"^</?(?:[A-Za-z][\w.-]*:)?([A-Za-z][^\s/>:]*)", 1))
@@ -64,12 +68,35 @@ def attribute(raw: Column, name: str) -> Column:
     return F.when(F.length(quoted) >= 2, F.substring(quoted, F.lit(2), F.length(quoted) - 2)).otherwise("")
 
 
+_PROLOG = r"(?is)^\s*(?:<\?xml.*?\?>)?\s*(?:<!--.*?-->\s*)*"
+_DOCTYPE = r"<!DOCTYPE[^>\[]*(?:\[.*?\])?\s*>"
+
+
 def parses(body: Column) -> Column:
-    """True when the body is a well-formed XML document."""
-    probe = F.from_xml(
-        body, T.StructType([T.StructField("_corrupt_record", T.StringType())]), {"mode": "PERMISSIVE"}
-    )
-    return F.coalesce(~is_missing(body) & probe["_corrupt_record"].isNull(), F.lit(False))
+    """True when the body is one well-formed XML document. The body is put into
+    a root of our own, so that content behind the end of its root is seen too.
+    With a document type, named entities count as declared."""
+    return let(body, _parses)
+
+
+def _parses(body: Column) -> Column:
+    core = F.regexp_replace(body, _PROLOG + "(?:" + _DOCTYPE + ")?", "")
+    declared = body.rlike(_PROLOG + _DOCTYPE)
+    named = r"&(?!(?:amp|lt|gt|quot|apos);)[A-Za-z][A-Za-z0-9]*;"
+    core = F.when(declared, F.regexp_replace(core, named, " ")).otherwise(core)
+    single = "count(/x/*) = 1 and not(/x/text()[normalize-space()])"
+
+    def whole(wrapped: Column) -> Column:
+        probe = F.from_xml(
+            wrapped, T.StructType([T.StructField("_corrupt_record", T.StringType())]), {"mode": "PERMISSIVE"}
+        )
+        # the path is only tried on text that is known to be well-formed
+        return F.when(probe["_corrupt_record"].isNotNull(), False).otherwise(
+            F.xpath_boolean(wrapped, F.lit(single))
+        )
+
+    wrapped = F.concat(F.lit("<x>"), core, F.lit("</x>"))
+    return F.when(is_missing(body), False).otherwise(let(wrapped, whole))
 
 
 def is_missing(body: Column) -> Column:
@@ -89,8 +116,18 @@ def flatten_wrappers(html: Column) -> Column:
     tags, a stack kept as a string of 0/1 says which end tag closes a wrapper,
     and the page is joined again; the work stays inside the row.
     """
-    cuts = F.regexp_extract_all(html, F.lit(_DIV_CUT), F.lit(0))
-    parts = F.split(html, _DIV_CUT, -1)
+    return let(html, lambda h: F.when(has_wrapper(h), _flatten(h)).otherwise(h))
+
+
+def _flatten(html: Column) -> Column:
+    both = F.struct(
+        F.regexp_extract_all(html, F.lit(_DIV_CUT), F.lit(0)).alias("cuts"),
+        F.split(html, _DIV_CUT, -1).alias("parts"),
+    )
+    return let(both, lambda b: _without_wrappers(b["cuts"], b["parts"]))
+
+
+def _without_wrappers(cuts: Column, parts: Column) -> Column:
     is_open = lambda t: t.rlike(r"(?is)^<(?:[a-z][\w.-]*:)?div\b") & ~F.endswith(t, F.lit("/>"))
     is_close = lambda t: t.rlike(r"(?is)^</")
     is_wrap = lambda t: attribute(t, "class") == "content"
@@ -134,26 +171,36 @@ def flatten_wrappers(html: Column) -> Column:
             F.concat(z["cut"], z["part"])
         ),
     )
-    return F.when(has_wrapper(html), F.concat(parts[0], F.array_join(glued, ""))).otherwise(html)
+    return F.concat(parts[0], F.array_join(glued, ""))
 
 
 def structure_of(html: Column) -> Column:
     """standard, manual, plain or NULL, tested in this order on the page text.
     A page that only has annex sections is not a standard page."""
-    page = F.regexp_replace(html, _OPAQUE, "")
     tag = lambda name: rf"<(?:[a-zA-Z][\w.-]*:)?(?i:{name})\b[^>]*\s"
     classes = "|".join(MANUAL_CLASSES)
-    return (
-        F.when(page.rlike(tag("div") + r"id\s*=\s*[\"'](?:rct_|art_)"), "standard")
-        .when(page.rlike(tag("p") + rf"class\s*=\s*[\"'](?:{classes})[\"']"), "manual")
-        .when(page.rlike(tag("div") + r"id\s*=\s*[\"']TexteOnly[\"']"), "plain")
-    )
+
+    def test(page: Column) -> Column:
+        return (
+            F.when(page.rlike(tag("div") + r"id\s*=\s*[\"'](?:rct_|art_)"), "standard")
+            .when(page.rlike(tag("p") + rf"class\s*=\s*[\"'](?:{classes})[\"']"), "manual")
+            .when(page.rlike(tag("div") + r"id\s*=\s*[\"']TexteOnly[\"']"), "plain")
+        )
+
+    # most pages have nothing to cut out, and the test for it is cheap
+    page = lambda h: F.when(
+        F.contains(h, F.lit("<!--")) | h.rlike("(?i)<s(?:cript|tyle)"), F.regexp_replace(h, _OPAQUE, "")
+    ).otherwise(h)
+    return let(html, lambda h: let(page(h), test))
 
 
 def loose_tags(tokens: Column) -> Column:
     """Names of the tags whose start and end tags do not pair up in this page."""
-    names = lambda kind: F.transform(F.filter(tokens, lambda t: token_kind(t) == kind), tag_name)
-    both = F.struct(names("open").alias("o"), names("close").alias("c"))
+    tags = F.filter(tokens, lambda t: t.rlike(r"(?is)^</?[a-z](?:.*[^/])?>$") & ~is_skipped(t))
+    names = lambda ts, end: F.transform(F.filter(ts, lambda t: (F.substring(t, 2, 1) == "/") == end), tag_name)
+    both = lambda ts: F.struct(
+        F.filter(names(ts, False), lambda n: ~n.isin(*VOID_TAGS)).alias("o"), names(ts, True).alias("c")
+    )
 
     def differing(x: Column) -> Column:
         count = lambda side, n: F.size(F.filter(side, lambda v: v == n))
@@ -163,4 +210,4 @@ def loose_tags(tokens: Column) -> Column:
             F.filter(F.array_union(x["o"], x["c"]), lambda n: count(x["o"], n) != count(x["c"], n))
         )
 
-    return F.transform(F.array(both), differing)[0]
+    return let(tags, lambda ts: let(both(ts), differing))

@@ -22,6 +22,12 @@ MONTHS = (
 )
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once per row, however often it is
+    used; a plain reference would be written out at every place."""
+    return F.transform(F.array(value), use)[0]
+
+
 def strip(c: Column) -> Column:
     return F.regexp_replace(c, rf"(?U)^{SPACE}+|{SPACE}+$", "")
 
@@ -71,7 +77,7 @@ def unescape(c: Column) -> Column:
         )
 
     pieces = F.regexp_extract_all(c, F.lit(r"&#?[a-zA-Z0-9]+;|[^&]+|&"), F.lit(0))
-    return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(pieces, piece), "")).otherwise(c)
+    return F.when(F.contains(c, F.lit("&")), F.array_join(F.transform(pieces, lambda p: piece(p)), "")).otherwise(c)
 
 
 def date_from_title(c: Column) -> Column:

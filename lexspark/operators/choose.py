@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexspark.functions.markup import flatten_wrappers, is_missing, parses, structure_of
+from lexspark.functions.text import let
 
 # Word lists of the main text and of the annex.
 MAIN_INCLUDE = ("ACT",)
@@ -52,42 +53,40 @@ def select_annex(items: DataFrame, key: str) -> DataFrame:
 
 def inspect_bodies(manifestations: DataFrame) -> DataFrame:
     """Narrow facts about every body, computed inside the row: is it well-formed,
-    which page structure does it have. The body itself is left behind."""
-    body = flatten_wrappers(F.col("body"))
-    return manifestations.filter(~is_missing(F.col("body"))).select(
-        "celex_id", "role", "fmt",
-        F.when(F.col("fmt") == "xhtml", parses(F.col("body"))).otherwise(F.lit(True)).alias("ok"),
-        structure_of(body).alias("structure"),
+    which page structure does it have. The body itself is left behind. Missing
+    bodies have no row; plain HTML always counts as readable."""
+    facts = lambda body: F.when(
+        ~is_missing(body),
+        F.array(F.struct(
+            F.when(F.col("fmt") == "xhtml", parses(body)).otherwise(True).alias("ok"),
+            structure_of(flatten_wrappers(body)).alias("structure"),
+        )),
+    )
+    # inline, not a filter: a filter would compute the facts a second time
+    return manifestations.select("celex_id", "role", "fmt", F.inline(let(F.col("body"), facts)))
+
+
+def body_choices(manifestations: DataFrame) -> DataFrame:
+    """Both choices of a body per (id, role), in one pass over the bodies:
+
+    * ``own``: (fmt, structure) of the XHTML when it is well-formed and has a
+      known structure, else of the plain HTML; NULL without a usable body. The
+      structure may be NULL (plain HTML of unknown structure): such a body gives
+      no units but counts as read.
+    * ``lent``: the body another document borrows. It differs in one case: a
+      well-formed XHTML without known structure stays chosen when there is no
+      plain HTML, and then gives no units.
+    """
+    plain = F.col("fmt") == "html"
+    known = F.col("ok") & F.col("structure").isNotNull()
+    pair = F.struct("fmt", "structure")
+    own_rank = F.when(~plain & known, 0).when(plain, 1)
+    lent_rank = F.when(~plain & known, 0).when(plain, 1).when(F.col("ok"), 2)
+    return inspect_bodies(manifestations).groupBy("celex_id", "role").agg(
+        F.min_by(pair, own_rank).alias("own"), F.min_by(pair, lent_rank).alias("lent")
     )
 
 
 def choose_body(manifestations: DataFrame) -> DataFrame:
-    """One body per (id, role): the XHTML when it is well-formed and has a known
-    structure, else the plain HTML. Rows: celex_id, role, fmt, structure.
-    An id without a usable body has no row. A structure may be NULL (plain HTML
-    of unknown structure); such a body gives no units but still counts as read."""
-    facts = inspect_bodies(manifestations)
-    usable = facts.filter(
-        (F.col("fmt") == "html") | ((F.col("fmt") == "xhtml") & F.col("ok") & F.col("structure").isNotNull())
-    )
-    rank = F.when(F.col("fmt") == "xhtml", 0).otherwise(1)
-    best = F.min_by(F.struct("fmt", "structure"), rank)
-    return usable.groupBy("celex_id", "role").agg(best.alias("_b")).select("celex_id", "role", "_b.*")
-
-
-def borrowed_body(manifestations: DataFrame) -> DataFrame:
-    """Choice for a body that another document borrows (recitals of the
-    original act, separate annex). It differs from choose_body in one case:
-    a well-formed XHTML without known structure stays chosen when there is no
-    plain HTML, and then gives no units."""
-    facts = inspect_bodies(manifestations)
-    rank = (
-        F.when((F.col("fmt") == "xhtml") & F.col("structure").isNotNull(), 0)
-        .when(F.col("fmt") == "html", 1)
-        .otherwise(2)
-    )
-    best = F.min_by(F.struct("fmt", "structure"), rank)
-    return (
-        facts.filter((F.col("fmt") == "html") | ((F.col("fmt") == "xhtml") & F.col("ok")))
-        .groupBy("celex_id", "role").agg(best.alias("_b")).select("celex_id", "role", "_b.*")
-    )
+    """One body per (id, role): rows celex_id, role, fmt, structure."""
+    return body_choices(manifestations).filter(F.col("own").isNotNull()).select("celex_id", "role", "own.*")

@@ -71,6 +71,13 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return named
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write the rows once to the shared checkpoint folder and read them from
+    there, where a result is used several times. For narrow tables."""
+    checkpoint_folder(df.sparkSession)
+    return df.checkpoint()
+
+
 def number_rows(df: DataFrame, order: Sequence[str], name: str = "id") -> DataFrame:
     """Consecutive numbers from 1 in the given order, without a global window.
 

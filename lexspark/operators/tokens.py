@@ -45,12 +45,17 @@ def html_tokens(
         extra = ["_loose_tags"]
     raw = F.col("raw")
     rows = cut.select(*keys, *extra, F.posexplode("_raws").alias("pos", "raw"))
-    rows = rows.withColumn("kind", M.token_kind(raw)).filter(F.col("kind") != "skip")
+    # filters look at the raw token only: one on a computed column would compute
+    # that column a second time
+    drop = M.is_skipped(raw) | (~F.startswith(raw, F.lit("<")) & is_blank(raw))
     if not comments:
-        rows = rows.filter(F.col("kind") != "comment")
+        drop = drop | F.startswith(raw, F.lit("<!--"))
+    rows = rows.filter(~drop).withColumn("kind", M.token_kind(raw))
     is_tag = F.col("kind").isin("open", "close", "void")
     starts = F.col("kind").isin("open", "void")
     cdata = F.regexp_extract(raw, r"(?is)^<!\[CDATA\[(.*)\]\]>$", 1)
+    # a text of references only may be blank too
+    rows = rows.filter(~raw.rlike(r"^[\s&]") | ~F.contains(raw, F.lit("&")) | ~is_blank(unescape(raw)))
     out = rows.select(
         *keys,
         *extra,
@@ -61,7 +66,7 @@ def html_tokens(
         F.when(starts, M.attribute(raw, "class")).otherwise("").alias("class"),
         F.when(F.col("kind") == "text", F.when(F.startswith(raw, F.lit("<![CDATA[")), cdata).otherwise(unescape(raw)))
         .otherwise("").alias("text"),
-    ).filter((F.col("kind") != "text") | ~is_blank(F.col("text")))
+    )
     if loose:
         out = out.withColumn("loose", F.array_contains("_loose_tags", F.col("tag"))).withColumn(
             "loose_p", F.array_contains("_loose_tags", F.lit("p"))

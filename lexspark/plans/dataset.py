@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from lexspark.functions.ids import document_type, is_consolidated, is_valid_celex, original_celex
 from lexspark.functions.markup import flatten_wrappers
 from lexspark.model import UNIT_TYPES
-from lexspark.operators.choose import borrowed_body, choose_body
+from lexspark.operators.choose import body_choices
 from lexspark.operators.graph import relations_with_original
 from lexspark.operators.resolve import build_works, resolve_date, resolve_html, resolve_title
-from lexspark.operators.scale import salted_join
+from lexspark.operators.scale import materialize, salted_join
 from lexspark.operators.units import extract_units, type_bits
 from lexspark.plans.discover import discover_works, keyword_concepts, listed_works
 from lexspark.spec import ExtractionSpec, JobSpec, ListSpec
@@ -33,15 +33,15 @@ def unit_sources(ids: DataFrame, manifestations: DataFrame, spec: ExtractionSpec
     """
     valid = ids.select("celex_id").distinct().filter(is_valid_celex(F.col("celex_id")))
     bodies = manifestations.filter(is_valid_celex(F.col("celex_id")))
-    own = valid.join(
-        choose_body(bodies).filter(F.col("role") == "main").drop("role"), "celex_id"
+    choices = body_choices(bodies)
+    main = choices.filter(F.col("role") == "main")
+    own = valid.join(main.filter(F.col("own").isNotNull()).select("celex_id", "own.*"), "celex_id")
+    original = main.filter(F.col("lent").isNotNull()).select(
+        F.col("celex_id").alias("original_id"), F.col("lent.fmt").alias("o_fmt"),
+        F.col("lent.structure").alias("o_structure"),
     )
-    lent = borrowed_body(bodies)
-    original = lent.filter(F.col("role") == "main").select(
-        F.col("celex_id").alias("original_id"), F.col("fmt").alias("o_fmt"), F.col("structure").alias("o_structure")
-    )
-    annex = lent.filter(F.col("role") == "annex").select(
-        "celex_id", F.col("fmt").alias("a_fmt"), F.col("structure").alias("a_structure")
+    annex = choices.filter((F.col("role") == "annex") & F.col("lent").isNotNull()).select(
+        "celex_id", F.col("lent.fmt").alias("a_fmt"), F.col("lent.structure").alias("a_structure")
     )
     bits = type_bits(spec.unit_types)
     recital, annex_bit = bits & 1, bits & 4
@@ -77,9 +77,11 @@ def build_text_units(
 
     Every body is shuffled once, by its key, against the narrow source rows
     (a shuffled hash join keeps that partitioning for all later windows), and
-    is cut once for all unit types it has to give.
+    is cut once for all unit types it has to give. The source rows need one
+    look at every body; they are narrow and are written once, so the bodies are
+    not looked through again for each use.
     """
-    sources = unit_sources(ids, manifestations, spec)
+    sources = materialize(unit_sources(ids, manifestations, spec))
     own = sources.filter(F.col("celex_id") == F.col("src_id")).select(*BODY_KEYS, "structure", "want")
     borrowed = sources.filter(F.col("celex_id") != F.col("src_id"))
     lent = borrowed.select(F.col("src_id").alias("celex_id"), "role", "fmt", "structure", "want").distinct()

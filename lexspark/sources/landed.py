@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from lexspark import model
 from lexspark.functions.markup import parses
-from lexspark.functions.text import date_from_parts, strip, unescape
+from lexspark.functions.text import date_from_parts, let, strip, unescape
 
 
 def read_manifestations(spark: SparkSession, path: str) -> DataFrame:
@@ -76,19 +76,47 @@ def drop_incomplete(df: DataFrame, variables: Sequence[str]) -> DataFrame:
     return df.dropna(how="any", subset=list(variables))
 
 
+_NOTICE = (
+    "EXPRESSION array<struct<EXPRESSION_TITLE:array<struct<VALUE:array<string>>>>>,"
+    "WORK array<struct<DATE_DOCUMENT:array<struct<YEAR:string,MONTH:string,DAY:string>>>>"
+)
+
+
 def notice_fields(df: DataFrame, xml_col: str) -> DataFrame:
-    """Title and date of a metadata notice; a broken notice gives NULLs."""
-    xml = F.col(xml_col)
-    ok = parses(xml)
-
-    def at(path: str) -> Column:
-        return F.when(ok & F.xpath_boolean(xml, F.lit(path)), F.xpath_string(xml, F.lit(path)))
-
-    part = lambda name: at(f"(//WORK/DATE_DOCUMENT)[1]/{name}")
-    return df.withColumns({
-        "notice_title": at("//EXPRESSION/EXPRESSION_TITLE/VALUE"),
-        "notice_date": date_from_parts(part("YEAR"), part("MONTH"), part("DAY")),
-    })
+    """Title and date of a metadata notice; a broken notice gives NULLs. The
+    usual layout (both elements right below the root) is read in one parse;
+    other layouts are searched by path, only when the first way found nothing."""
+
+    def fields(xml: Column) -> Column:
+        ok = parses(xml)
+
+        def at(path: str) -> Column:
+            return F.when(ok & F.xpath_boolean(xml, F.lit(path)), F.xpath_string(xml, F.lit(path)))
+
+        def pick(doc: Column) -> Column:
+            titles = F.flatten(F.flatten(F.transform(
+                doc["EXPRESSION"], lambda e: F.transform(e["EXPRESSION_TITLE"], lambda t: t["VALUE"])
+            )))
+            dates = F.flatten(F.transform(doc["WORK"], lambda w: w["DATE_DOCUMENT"]))
+            deep_title = F.contains(xml, F.lit("<EXPRESSION_TITLE"))
+            deep_date = F.contains(xml, F.lit("<DATE_DOCUMENT"))
+            date = F.get(dates, F.lit(0))
+            part = lambda name: F.when(date.isNotNull(), date[name]).when(
+                deep_date, at(f"(//WORK/DATE_DOCUMENT)[1]/{name}")
+            )
+            title = F.coalesce(
+                F.get(titles, F.lit(0)), F.when(deep_title, at("//EXPRESSION/EXPRESSION_TITLE/VALUE"))
+            )
+            return F.struct(
+                title.alias("title"), date_from_parts(part("YEAR"), part("MONTH"), part("DAY")).alias("date")
+            )
+
+        options = {"mode": "PERMISSIVE", "ignoreSurroundingSpaces": "false"}
+        return let(F.from_xml(xml, _NOTICE, options), pick)
+
+    return df.withColumn("_notice", let(F.col(xml_col), fields)).withColumns({
+        "notice_title": F.col("_notice.title"), "notice_date": F.col("_notice.date"),
+    }).drop("_notice")
 
 
 def parse_listing(df: DataFrame, html_col: str, keep: Sequence[str]) -> DataFrame:
