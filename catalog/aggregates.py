@@ -77,7 +77,7 @@ def built_tables(spark, sf):
     )
     return {
         "works": I.main_works(spark, sf),
-        "text_units": extract_units(pages, ["doc_id"], "html"),
+        "text_units": extract_units(pages, ["doc_id"], "html", partitioned=True),
         "relations": I.relations(spark, sf).filter("celex_target <> ''"),
     }
 
@@ -122,7 +122,7 @@ def concat(spark, sf):
 @query("q_structure_flags", """
 SELECT doc_id, doc_id % 3 = 0 AS is_standard, doc_id % 3 = 1 AS is_manual, doc_id % 3 = 2 AS is_plain FROM documents""")
 def structure_flags(spark, sf):
-    t = html_tokens(I.legal_pages(spark, sf), ["doc_id"], "html")
+    t = html_tokens(I.legal_pages(spark, sf), ["doc_id"], "html", partitioned=True)
     div, p = F.col("tag") == "div", F.col("tag") == "p"
     return t.groupBy("doc_id").agg(
         F.bool_or(div & F.col("id").rlike("^(rct|art)_")).alias("is_standard"),

@@ -104,7 +104,7 @@ def toggle(spark, sf):
         "want", F.lit(type_bits(["recital", "annex"]))
     )
     return X.select_unit_types(
-        extract_units(pages, ["doc_id"], "html"), ["recital", "annex"]
+        extract_units(pages, ["doc_id"], "html", partitioned=True), ["recital", "annex"]
     ).select("doc_id", "type", "number", "text")
 
 

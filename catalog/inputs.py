@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexspark import model
+from lexspark.operators.scale import by_key
 
 KEYWORDS = ["RED", "Economy", "ring", "zzz"]
 CONCEPT = "http://example.org/concept/"
@@ -286,13 +287,20 @@ def page(text: Column, doc_id: Column, kind: Column) -> Column:
 
 
 def legal_pages(spark, sf) -> DataFrame:
-    d = table(spark, sf, "documents")
+    """Pages of all three structures, partitioned by document."""
+    d = by_key(table(spark, sf, "documents").select("doc_id", "text"), ["doc_id"])
     kind = (F.col("doc_id") % 3).cast("int")
     return d.select("doc_id", kind.alias("kind"), page(F.col("text"), F.col("doc_id"), kind).alias("html"))
 
 
+def pages_of_kind(spark, sf, kind: int) -> DataFrame:
+    """Every document as a page of one structure, partitioned by document."""
+    d = by_key(table(spark, sf, "documents").select("doc_id", "text"), ["doc_id"])
+    return d.select("doc_id", page(F.col("text"), F.col("doc_id"), F.lit(kind)).alias("html"))
+
+
 def manifestations(spark, sf) -> DataFrame:
-    d = table(spark, sf, "documents").select("doc_id", "text")
+    d = by_key(table(spark, sf, "documents").select("doc_id", "text"), ["doc_id"])
     w = works(spark, sf).select("celex_id", "k", "ty").withColumn(
         "doc_id", F.when(F.col("k") < 0, F.lit(-1) - F.col("k")).otherwise(F.col("k"))
     )
@@ -316,6 +324,6 @@ def manifestations(spark, sf) -> DataFrame:
     tail = F.when(F.col("broken"), "<p>").otherwise("")
     # spread like a landed table, whose files are many; it also keeps the page
     # rule from being repeated at every use of the body
-    return rows.select("celex_id", "role", "fmt", F.concat(html, tail).alias("body")).repartition(
-        "celex_id", "role", "fmt"
+    return by_key(
+        rows.select("celex_id", "role", "fmt", F.concat(html, tail).alias("body")), ["celex_id", "role", "fmt"]
     )

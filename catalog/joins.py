@@ -120,14 +120,8 @@ SELECT doc_id, id, text FROM (
 WHERE regexp_matches(text, '[^\s\x{00A0}]')"""
 
 
-def standard_pages(spark, sf):
-    return I.table(spark, sf, "documents").select(
-        "doc_id", I.page(F.col("text"), F.col("doc_id"), F.lit(0)).alias("html")
-    )
-
-
 def section_texts(spark, sf):
-    tokens = html_tokens(standard_pages(spark, sf), ["doc_id"], "html")
+    tokens = html_tokens(I.pages_of_kind(spark, sf, 0), ["doc_id"], "html", partitioned=True)
     spans = pair_elements(tokens, ["doc_id"]).filter(F.col("id") != "")
     return tokens_in_spans(tokens, spans, ["doc_id"])
 

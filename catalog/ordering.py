@@ -80,10 +80,8 @@ SELECT class, next_class, count(*) AS n FROM (
   SELECT class, lead(class) OVER (PARTITION BY doc_id ORDER BY i, o) AS next_class FROM man_paragraphs) GROUP BY 1, 2""",
        "man_paragraphs")
 def next_sibling(spark, sf):
-    pages = I.table(spark, sf, "documents").select(
-        "doc_id", I.page(F.col("text"), F.col("doc_id"), F.lit(1)).alias("html")
-    )
-    p = html_tokens(pages, ["doc_id"], "html").filter("tag = 'p' AND kind = 'open'")
+    pages = I.pages_of_kind(spark, sf, 1)
+    p = html_tokens(pages, ["doc_id"], "html", partitioned=True).filter("tag = 'p' AND kind = 'open'")
     return S.with_next(p, ["doc_id"], "pos", ["class"]).groupBy("class", "next_class").agg(
         F.count(F.lit(1)).alias("n")
     )

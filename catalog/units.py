@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from catalog import inputs as I
 from catalog import query
 from catalog.ctes import nrm
-from catalog.joins import standard_pages
 from catalog.ordering import TOKENS
 from lexspark.functions.ids import is_valid_celex
 from lexspark.functions.markup import flatten_wrappers, structure_of
@@ -44,13 +43,13 @@ SELECT doc_id, count(*) FILTER (i % 12 = 0) AS n_before, 0 AS n_after,
 FROM (SELECT doc_id, i, CASE i % 3 WHEN 0 THEN x WHEN 1 THEN 'Article ' || i || ' ' || substr(x, 1, 20) || ' ' || x
              ELSE 'ANNEX ' || i || ' ' || substr(x, 1, 20) || ' ' || x END AS t FROM lines) GROUP BY doc_id""", "lines")
 def flatten(spark, sf):
-    pages = standard_pages(spark, sf)
+    pages = I.pages_of_kind(spark, sf, 0)
     count = lambda c: F.regexp_count(c, F.lit('class="content"'))
     flat = pages.select(
         "doc_id", count(F.col("html")).alias("n_before"), flatten_wrappers(F.col("html")).alias("html")
     ).withColumn("n_after", count(F.col("html")))
     keys = ["doc_id", "n_before", "n_after"]
-    t = html_tokens(flat, ["doc_id"], "html", carry=keys[1:])
+    t = html_tokens(flat, ["doc_id"], "html", carry=keys[1:], partitioned=True)
     return t.groupBy(*keys).agg(extract_text().alias("text"))
 
 
@@ -59,18 +58,12 @@ def classify(spark, sf):
     return I.legal_pages(spark, sf).select("doc_id", structure_of(F.col("html")).alias("structure"))
 
 
-def _pages(spark, sf, kind):
-    return I.table(spark, sf, "documents").select(
-        "doc_id", I.page(F.col("text"), F.col("doc_id"), F.lit(kind)).alias("html")
-    )
-
-
 def _register(kind: int, name: str, cte: str, extract) -> None:
     for unit, plural in (("recital", "recitals"), ("article", "articles"), ("annex", "annexes")):
         sql = f"SELECT doc_id, number, title, text FROM {cte} WHERE type = '{unit}'"
 
         def fn(spark, sf, unit=unit):
-            units = extract(_pages(spark, sf, kind), ["doc_id"], "html", [unit])
+            units = extract(I.pages_of_kind(spark, sf, kind), ["doc_id"], "html", [unit], partitioned=True)
             return units.select("doc_id", "number", "title", "text")
 
         query(f"q_{name}_{plural}", sql, cte)(fn)

@@ -42,13 +42,14 @@ def relation_edges(
 def relation_hop(
     triples: DataFrame, predicates: Mapping[str, str] = RELATION_PREDICATES
 ) -> DataFrame:
-    """work --p--> other work --id--> document id. A much-cited work makes its
-    id a hot key on the edge side, so the join is salted by the key's size."""
+    """work --p--> other work --id--> document id. A work has one id, so a
+    much-cited work only makes a large partition on the edge side, which
+    adaptive execution splits."""
     ids = triples.filter(F.col("p") == P_CELEX).select(
         F.col("s").alias("target"), F.col("o").alias("value")
-    ).distinct()
-    edges = relation_edges(triples, predicates).distinct()
-    return salted_join(edges, ids, "target", ["s", "relation_type"]).select("s", "relation_type", "value").distinct()
+    )
+    edges = relation_edges(triples, predicates)
+    return edges.join(ids, "target").select("s", "relation_type", "value").distinct()
 
 
 def all_properties(triples: DataFrame, language: str = "ENG") -> DataFrame:
@@ -68,7 +69,8 @@ def all_properties(triples: DataFrame, language: str = "ENG") -> DataFrame:
         "s", F.lit("date").alias("data_type"), F.col("o").alias("value")
     )
     hops = relation_hop(triples).select("s", F.col("relation_type").alias("data_type"), "value")
-    return title_rows.unionByName(date_rows).unionByName(hops).distinct()
+    # the hops are distinct already, and no tag of theirs is title or date
+    return title_rows.unionByName(date_rows).distinct().unionByName(hops)
 
 
 def having_language(df: DataFrame, expressions: DataFrame, key: str) -> DataFrame:
@@ -119,8 +121,7 @@ def with_original(df: DataFrame, other: DataFrame, key: str = "celex_id") -> Dat
     """Left join of ``other`` (unique on ``key``) on the id of the original act;
     a document that is not consolidated is its own original."""
     right = other.withColumnRenamed(key, "original_id")
-    left = df.withColumn("original_id", original_celex(F.col(key)))
-    return salted_join(left, right, "original_id", [key], how="left")
+    return df.withColumn("original_id", original_celex(F.col(key))).join(right, "original_id", "left")
 
 
 def relations_with_original(

@@ -13,6 +13,14 @@ ROWS_PER_SALT = 10_000
 HOT_KEYS = 10_000
 
 
+def by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Hash-partition by the keys into ``spark.sql.shuffle.partitions`` parts.
+    The number is given on purpose: cutting a page costs far more than its bytes
+    suggest, so adaptive merging of small partitions would leave cores idle."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(n, *keys)
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Broadcast hint only when a bounded count shows the table is small;
     otherwise the planner is free to shuffle. For narrow key tables only."""
@@ -29,7 +37,9 @@ def salted_join(
     rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """Inner or left join on ``key`` where one key of ``many`` may hold a large
-    share of all rows.
+    share of all rows and ``other`` has several rows per key, so that the result
+    of the hot key is many times its input. (Where ``other`` has one row per
+    key a plain join will do: adaptive execution splits a hot partition.)
 
     A key is hot when it holds more than ``rows_per_salt`` rows and more than
     1/HOT_KEYS of all rows, so there are never more than HOT_KEYS hot keys and
@@ -39,7 +49,7 @@ def salted_join(
     ``spread`` columns, so a re-run task gives the same groups.
     """
     sizes = many.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = many.agg(F.count(F.lit(1)).alias("_all")).scalar()
+    total = sizes.agg(F.sum("_n").alias("_all")).scalar()
     floor = F.greatest(F.lit(rows_per_salt), F.ceil(total / F.lit(HOT_KEYS)))
     hot = sizes.filter(F.col("_n") > floor).select(
         key, F.ceil(F.col("_n") / F.lit(rows_per_salt)).cast("int").alias("_salts")

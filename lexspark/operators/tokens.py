@@ -17,6 +17,7 @@ from pyspark.sql.window import Window
 
 from lexspark.functions import markup as M
 from lexspark.functions.text import is_blank, normalize_text, unescape
+from lexspark.operators.scale import by_key
 from lexspark.operators.sequence import join_ordered, latest, running
 
 SPAN_BLOCK = 256
@@ -36,7 +37,7 @@ def html_tokens(
     """
     bodies = df.select(*keys, *carry, F.col(html).alias("_html")).filter(F.col("_html").isNotNull())
     if not partitioned:
-        bodies = bodies.repartition(*keys)
+        bodies = by_key(bodies, keys)
     keys = [*keys, *carry]
     cut = bodies.select(*keys, M.raw_tokens(F.col("_html")).alias("_raws"))
     extra = []

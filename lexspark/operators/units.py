@@ -20,7 +20,7 @@ from pyspark.sql.window import Window
 from lexspark.functions import markup as M
 from lexspark.functions.text import (
     PLAIN_ANNEX, PLAIN_ARTICLE, annex_heading, annex_heading_plain, article_number,
-    normalize_text, recital_number, section_key, strip,
+    let, normalize_text, recital_number, section_key, strip,
 )
 from lexspark.model import UNIT_TYPES
 from lexspark.operators.sequence import latest, running
@@ -286,20 +286,28 @@ def extract_units(
     return units_from_elements(element_table(docs, keys, html, partitioned), keys)
 
 
-def _extract(docs, keys, html, structure, types):
-    picked = docs.withColumn("structure", M.structure_of(F.col(html))).filter(
-        F.col("structure") == structure
-    ).withColumn("want", F.lit(type_bits(types)))
-    return extract_units(picked, keys, html).drop("structure", "want")
+def _extract(docs, keys, html, structure, types, partitioned):
+    def pick(page: Column) -> Column:
+        row = F.struct(page.alias("html"), F.lit(structure).alias("structure"), F.lit(type_bits(types)).alias("want"))
+        return F.when(M.structure_of(page) == structure, F.array(row))
 
+    picked = docs.select(*keys, F.inline(let(F.col(html), pick)))
+    return extract_units(picked, keys, "html", partitioned).drop("structure", "want")
 
-def extract_standard(docs: DataFrame, keys: Sequence[str], html: str, types: Sequence[str] = UNIT_TYPES):
-    return _extract(docs, keys, html, "standard", types)
+
+def extract_standard(
+    docs: DataFrame, keys: Sequence[str], html: str, types: Sequence[str] = UNIT_TYPES, partitioned: bool = False
+) -> DataFrame:
+    return _extract(docs, keys, html, "standard", types, partitioned)
 
 
-def extract_manual(docs: DataFrame, keys: Sequence[str], html: str, types: Sequence[str] = UNIT_TYPES):
-    return _extract(docs, keys, html, "manual", types)
+def extract_manual(
+    docs: DataFrame, keys: Sequence[str], html: str, types: Sequence[str] = UNIT_TYPES, partitioned: bool = False
+) -> DataFrame:
+    return _extract(docs, keys, html, "manual", types, partitioned)
 
 
-def extract_plain(docs: DataFrame, keys: Sequence[str], html: str, types: Sequence[str] = UNIT_TYPES):
-    return _extract(docs, keys, html, "plain", types)
+def extract_plain(
+    docs: DataFrame, keys: Sequence[str], html: str, types: Sequence[str] = UNIT_TYPES, partitioned: bool = False
+) -> DataFrame:
+    return _extract(docs, keys, html, "plain", types, partitioned)

@@ -13,7 +13,7 @@ from lexspark.model import UNIT_TYPES
 from lexspark.operators.choose import body_choices
 from lexspark.operators.graph import relations_with_original
 from lexspark.operators.resolve import build_works, resolve_date, resolve_html, resolve_title
-from lexspark.operators.scale import materialize, salted_join
+from lexspark.operators.scale import by_key, materialize, salted_join
 from lexspark.operators.units import extract_units, type_bits
 from lexspark.plans.discover import discover_works, keyword_concepts, listed_works
 from lexspark.spec import ExtractionSpec, JobSpec, ListSpec
@@ -48,7 +48,7 @@ def unit_sources(ids: DataFrame, manifestations: DataFrame, spec: ExtractionSpec
     own = own.withColumn(
         "original_id", F.when(is_consolidated(F.col("celex_id")), original_celex(F.col("celex_id")))
     )
-    wide = salted_join(own, original, "original_id", ["celex_id"], how="left").join(
+    wide = own.join(original, "original_id", "left").join(
         annex.filter(document_type(F.col("celex_id")) == "proposal"), "celex_id", "left"
     )
     borrows = F.col("o_fmt").isNotNull() & F.lit(recital != 0)
@@ -99,9 +99,9 @@ def build_text_units(
 
 
 def _units_of(manifestations: DataFrame, jobs: DataFrame) -> DataFrame:
-    bodies = manifestations.join(jobs.hint("shuffle_hash"), BODY_KEYS).withColumn(
-        "html", flatten_wrappers(F.col("body"))
-    )
+    bodies = by_key(manifestations.select(*BODY_KEYS, "body"), BODY_KEYS).join(
+        by_key(jobs, BODY_KEYS).hint("shuffle_hash"), BODY_KEYS
+    ).withColumn("html", flatten_wrappers(F.col("body")))
     return extract_units(bodies, BODY_KEYS, "html", partitioned=True).drop("structure", "want")
 
 

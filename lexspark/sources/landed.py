@@ -124,8 +124,10 @@ def parse_listing(df: DataFrame, html_col: str, keep: Sequence[str]) -> DataFram
     Items without an address are dropped; order is 999 when it is not a number."""
     chunks = F.split(F.col(html_col), r"(?i)<li\b[^>]*title\s*=\s*[\"']item[\"'][^>]*>", -1)
     items = F.slice(chunks, F.lit(2), F.greatest(F.size(chunks) - 1, F.lit(0)))
-    rows = df.select(*keep, F.posexplode(items).alias("pos", "_item"))
     item = F.col("_item")
+    rows = df.select(*keep, F.posexplode(items).alias("pos", "_item")).filter(
+        item.rlike(r"(?is)<a\b[^>]*\shref\s*=\s*[\"'][^\"']")
+    )
     field = lambda title: unescape(strip(
         F.regexp_extract(item, rf"(?is)<li\b[^>]*title\s*=\s*[\"']{title}[\"'][^>]*>([^<]*)", 1)
     ))
@@ -139,7 +141,7 @@ def parse_listing(df: DataFrame, html_col: str, keep: Sequence[str]) -> DataFram
         F.coalesce(F.when(order.rlike(r"^[+-]?[0-9]+$"), order.try_cast("int")), F.lit(999)).alias(
             "stream_order"
         ),
-    ).filter(F.length("url") > 0)
+    )
 
 
 def inline(spark: SparkSession, values: Sequence[str], name: str) -> DataFrame:
