@@ -64,8 +64,8 @@ def tag_name(raw: Column) -> Column:
 
 
 def attribute(raw: Column, name: str) -> Column:
-    quoted = F.regexp_extract(raw, rf"(?is)\s{name}\s*=\s*(\"[^\"]*\"|'[^']*')", 1)
-    return F.when(F.length(quoted) >= 2, F.substring(quoted, F.lit(2), F.length(quoted) - 2)).otherwise("")
+    found = F.regexp_extract(raw, rf"(?is)\s{name}\s*=\s*([\"'])(.*?)\1", 2)
+    return F.when(F.contains(raw, F.lit("=")), found).otherwise("")
 
 
 _PROLOG = r"(?is)^\s*(?:<\?xml.*?\?>)?\s*(?:<!--.*?-->\s*)*"

@@ -97,16 +97,14 @@ def contains_join(
     table = df.sparkSession.createDataFrame(rows, f"{name} string, _piece string")
     lengths = sorted({len(piece) for _, piece in rows})
     low = fold(F.col(text))
-    pieces = F.flatten(F.array(*[
-        F.when(
-            F.length(low) >= n,
-            F.transform(
-                F.sequence(F.lit(1), F.greatest(F.length(low) - n + 1, F.lit(1))),
-                lambda i, n=n: F.substring(low, i, F.lit(n)),
-            ),
+
+    def substrings(n: int) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.length(low) - n + 1, F.lit(1)))
+        return F.when(
+            F.length(low) >= n, F.transform(starts, lambda i: F.substring(low, i, F.lit(n)))
         ).otherwise(F.array().cast("array<string>"))
-        for n in lengths
-    ]))
+
+    pieces = F.flatten(F.array(*[substrings(n) for n in lengths]))
     if 0 in lengths:
         pieces = F.array_append(pieces, F.lit(""))
     return df.withColumn("_piece", F.explode(F.array_distinct(pieces))).join(table, "_piece").drop("_piece")

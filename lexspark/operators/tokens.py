@@ -35,7 +35,7 @@ def html_tokens(
     ``carry`` names document columns to repeat on every token. ``partitioned``
     tells that ``df`` is already partitioned by the keys.
     """
-    bodies = df.select(*keys, *carry, F.col(html).alias("_html")).filter(F.col("_html").isNotNull())
+    bodies = df.select(*keys, *carry, F.col(html).alias("_html"))
     if not partitioned:
         bodies = by_key(bodies, keys)
     keys = [*keys, *carry]
@@ -45,7 +45,10 @@ def html_tokens(
         cut = cut.withColumn("_loose_tags", M.loose_tags(F.col("_raws")))
         extra = ["_loose_tags"]
     raw = F.col("raw")
-    rows = cut.select(*keys, *extra, F.posexplode("_raws").alias("pos", "raw"))
+    # the outer form on purpose: for the inner one the optimizer adds a test of
+    # the array's size below, and the page would be cut once more for it. The
+    # filter that follows drops the NULL token of an empty page.
+    rows = cut.select(*keys, *extra, F.posexplode_outer("_raws").alias("pos", "raw"))
     # filters look at the raw token only: one on a computed column would compute
     # that column a second time
     drop = M.is_skipped(raw) | (~F.startswith(raw, F.lit("<")) & is_blank(raw))
