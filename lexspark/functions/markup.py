@@ -174,6 +174,14 @@ def _without_wrappers(cuts: Column, parts: Column) -> Column:
     return F.concat(parts[0], F.array_join(glued, ""))
 
 
+def _without_opaque(html: Column) -> Column:
+    """The page without comments, scripts and styles. Most pages have none, and
+    the test for it is cheap."""
+    return let(html, lambda h: F.when(
+        F.contains(h, F.lit("<!--")) | h.rlike("(?i)<s(?:cript|tyle)"), F.regexp_replace(h, _OPAQUE, "")
+    ).otherwise(h))
+
+
 def structure_of(html: Column) -> Column:
     """standard, manual, plain or NULL, tested in this order on the page text.
     A page that only has annex sections is not a standard page."""
@@ -187,19 +195,20 @@ def structure_of(html: Column) -> Column:
             .when(page.rlike(tag("div") + r"id\s*=\s*[\"']TexteOnly[\"']"), "plain")
         )
 
-    # most pages have nothing to cut out, and the test for it is cheap
-    page = lambda h: F.when(
-        F.contains(h, F.lit("<!--")) | h.rlike("(?i)<s(?:cript|tyle)"), F.regexp_replace(h, _OPAQUE, "")
-    ).otherwise(h)
-    return let(html, lambda h: let(page(h), test))
+    return let(_without_opaque(html), test)
+
+
+_START_NAME = (
+    r"<(?!(?:" + "|".join(VOID_TAGS) + r")\b)(?:[a-z][\w.-]*:)?([a-z][^\s/>:]*)(?:\s[^>]*)?(?<!/)>"
+)
+_END_NAME = r"</(?:[a-z][\w.-]*:)?([a-z][^\s/>:]*)"
 
 
-def loose_tags(tokens: Column) -> Column:
+def loose_tags(html: Column) -> Column:
     """Names of the tags whose start and end tags do not pair up in this page."""
-    tags = F.filter(tokens, lambda t: t.rlike(r"(?is)^</?[a-z](?:.*[^/])?>$") & ~is_skipped(t))
-    names = lambda ts, end: F.transform(F.filter(ts, lambda t: (F.substring(t, 2, 1) == "/") == end), tag_name)
-    both = lambda ts: F.struct(
-        F.filter(names(ts, False), lambda n: ~n.isin(*VOID_TAGS)).alias("o"), names(ts, True).alias("c")
+    names = lambda page: F.struct(
+        F.regexp_extract_all(page, F.lit(_START_NAME), F.lit(1)).alias("o"),
+        F.regexp_extract_all(page, F.lit(_END_NAME), F.lit(1)).alias("c"),
     )
 
     def differing(x: Column) -> Column:
@@ -210,4 +219,4 @@ def loose_tags(tokens: Column) -> Column:
             F.filter(F.array_union(x["o"], x["c"]), lambda n: count(x["o"], n) != count(x["c"], n))
         )
 
-    return let(tags, lambda ts: let(both(ts), differing))
+    return let(_without_opaque(html), lambda h: let(F.lower(h), lambda low: let(names(low), differing)))

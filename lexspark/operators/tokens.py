@@ -39,11 +39,12 @@ def html_tokens(
     if not partitioned:
         bodies = by_key(bodies, keys)
     keys = [*keys, *carry]
-    cut = bodies.select(*keys, M.raw_tokens(F.col("_html")).alias("_raws"))
-    extra = []
-    if loose:
-        cut = cut.withColumn("_loose_tags", M.loose_tags(F.col("_raws")))
-        extra = ["_loose_tags"]
+    cut = bodies.select(
+        *keys,
+        M.raw_tokens(F.col("_html")).alias("_raws"),
+        *([M.loose_tags(F.col("_html")).alias("_loose_tags")] if loose else []),
+    )
+    extra = ["_loose_tags"] if loose else []
     raw = F.col("raw")
     # the outer form on purpose: for the inner one the optimizer adds a test of
     # the array's size below, and the page would be cut once more for it. The
