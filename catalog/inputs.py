@@ -141,14 +141,18 @@ def triples(spark, sf) -> DataFrame:
 
 
 def bindings(df: DataFrame, names: list[str], per_doc: Column, order: str) -> DataFrame:
-    """Rows as query-result documents (doc, json); NULL values are left out."""
+    """Rows as query-result documents (doc, json); NULL values are left out. A
+    document holds one part of 64 of its rows, so a large group stays spread."""
     term = lambda c: F.struct(F.lit("literal").alias("type"), F.col(c).cast("string").alias("value"))
     pairs = F.filter(
         F.array(*[F.struct(F.lit(c).alias("k"), F.when(F.col(c).isNotNull(), term(c)).alias("v")) for c in names]),
         lambda p: p["v"].isNotNull(),
     )
-    one = df.select(per_doc.alias("doc"), F.col(order).alias("_o"), F.map_from_entries(pairs).alias("b"))
-    docs = one.groupBy("doc").agg(
+    one = df.select(
+        per_doc.alias("doc"), F.col(order).alias("_o"), F.map_from_entries(pairs).alias("b"),
+        F.pmod(F.xxhash64(order), F.lit(64)).alias("_part"),
+    )
+    docs = one.groupBy("doc", "_part").agg(
         F.transform(F.array_sort(
             F.collect_list(F.struct("_o", "b")), lambda x, y: F.when(x["_o"] < y["_o"], -1).when(x["_o"] > y["_o"], 1).otherwise(0)
         ), lambda x: x["b"]).alias("bindings")

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lexspark.operators.scale import materialize
+
 
 def running(keys: Sequence[str], order: str):
     """From the start of the document up to this row."""
@@ -33,8 +35,38 @@ def concat_ordered(
     return df.groupBy(*keys).agg(join_ordered(order, F.col(text), sep).alias(name))
 
 
+def running_sum(df: DataFrame, keys: Sequence[str], order: str, value: Column, name: str) -> DataFrame:
+    """Sum of ``value`` from the first row of the key to this one; ``order`` is
+    unique within a key.
+
+    A key of any size is spread over tasks: the rows are range-sorted by
+    (keys, order), summed within (partition, key), and each partition adds what
+    earlier partitions hold of the key it begins with. Only that one key can
+    reach over a partition's edge, so the table of carried sums has at most one
+    row per partition and is safe to broadcast. The sorted rows are written once
+    (checkpoint), so all steps see the same partitions.
+    """
+    placed = materialize(
+        df.withColumn("_v", value.cast("bigint")).orderBy(*keys, order)
+        .withColumn("_part", F.spark_partition_id())
+    )
+    local = F.sum("_v").over(running(["_part", *keys], order))
+    earlier = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
+        placed.groupBy("_part", *keys).agg(F.sum("_v").alias("_s"))
+        .withColumn("_carry", F.sum("_s").over(earlier))
+        .filter(F.col("_carry").isNotNull()).drop("_s")
+    )
+    return (
+        placed.withColumn(name, local)
+        .join(F.broadcast(carried), ["_part", *keys], "left")
+        .withColumn(name, F.col(name) + F.coalesce("_carry", F.lit(0)))
+        .drop("_part", "_v", "_carry")
+    )
+
+
 def number_in_order(df: DataFrame, keys: Sequence[str], order: str, name: str = "number") -> DataFrame:
-    return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(order)))
+    return running_sum(df, keys, order, F.lit(1), name)
 
 
 def section_by_headings(
@@ -42,8 +74,7 @@ def section_by_headings(
 ) -> DataFrame:
     """Number of the latest boundary row at or before each row; 0 in front of
     the first boundary."""
-    w = running(keys, order)
-    return rows.withColumn(name, F.sum(F.when(boundary, 1).otherwise(0)).over(w))
+    return running_sum(rows, keys, order, F.when(boundary, 1).otherwise(0), name)
 
 
 def first_in_group(df: DataFrame, keys: Sequence[str], order: str, values: Sequence[str]) -> DataFrame:
@@ -52,6 +83,7 @@ def first_in_group(df: DataFrame, keys: Sequence[str], order: str, values: Seque
 
 
 def with_next(df: DataFrame, keys: Sequence[str], order: str, cols: Sequence[str]) -> DataFrame:
+    """Values of the next row within a document (a document is one body)."""
     w = Window.partitionBy(*keys).orderBy(order)
     return df.withColumns({f"next_{c}": F.lead(c).over(w) for c in cols})
 

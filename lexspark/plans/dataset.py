@@ -136,13 +136,14 @@ def build_dataset(inputs: Inputs, spec: JobSpec) -> dict[str, DataFrame]:
         notices = inputs.properties.sparkSession.createDataFrame(
             [], "celex_id string, notice_title string, notice_date date"
         )
-    titles = resolve_title(ids, inputs.properties, notices, inputs.manifestations)
+    # an id that is not valid (a corrigendum) has a work and relations, no body
+    readable = inputs.manifestations.filter(is_valid_celex(F.col("celex_id")))
+    titles = resolve_title(ids, inputs.properties, notices, readable)
     dates = resolve_date(titles, inputs.properties, notices)
-    valid = ids.filter(is_valid_celex(F.col("celex_id")))
-    bodies = resolve_html(inputs.manifestations, valid) if spec.output.include_raw_full_text else None
+    bodies = resolve_html(readable, ids) if spec.output.include_raw_full_text else None
     tables = {
         "works": build_works(ids, titles, dates, bodies),
-        "text_units": build_text_units(ids, inputs.manifestations, spec.extraction),
+        "text_units": build_text_units(ids, readable, spec.extraction),
     }
     tables["relations"] = dataset_relations(ids, inputs.relations, spec)
     return tables

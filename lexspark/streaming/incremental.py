@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexspark import model
+from lexspark.functions.ids import is_valid_celex
 from lexspark.plans.dataset import Inputs, build_text_units, dataset_relations
 from lexspark.operators.resolve import build_works, resolve_date, resolve_html, resolve_title
 from lexspark.spec import JobSpec
@@ -33,7 +34,7 @@ def write_batch(batch: DataFrame, batch_id: int, inputs: Inputs, spec: JobSpec,
     if done is not None:
         ids = ids.join(done, "celex_id", "left_anti")
     landed = inputs.manifestations
-    new = batch.join(ids, "celex_id", "left_semi")
+    new = batch.join(ids, "celex_id", "left_semi").filter(is_valid_celex(F.col("celex_id")))
     known = landed.join(batch.select("celex_id").distinct(), "celex_id", "left_anti").unionByName(
         batch.select(*landed.columns)
     )

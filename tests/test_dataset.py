@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexspark import model as M
 from lexspark.operators import tables as T
+from lexspark.operators.units import extract_units
 from lexspark.plans.dataset import Inputs, build_dataset, build_text_units
 from lexspark.sources.landed import read_manifestation_files, read_manifestations
 from lexspark.spec import DiscoverSpec, ExtractionSpec, JobSpec, ListSpec, Metadata, OutputSpec, RelationSpec
@@ -60,9 +61,12 @@ def test_unit_types_off(spark, bodies):
 
 
 def test_bodies_are_shuffled_once_and_tokens_never(spark, bodies):
-    plan = build_text_units(bodies.select("celex_id").distinct(), bodies)._jdf.queryExecution().executedPlan().toString()
-    windows_to_scan = plan.split("Generate posexplode")[0]
-    assert "Exchange hashpartitioning" not in windows_to_scan.split("Union")[1].split("ShuffledHashJoin")[0].split("Window")[1]
+    docs = bodies.select("celex_id", F.lit("standard").alias("structure"), F.lit(7).alias("want"), "body")
+    plan = extract_units(docs, ["celex_id"], "body")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+    below = plan[plan.index("Exchange"):]
+    assert "Generate" not in below and "Window" not in below
+    assert plan.count("Window") > 5 and "BatchEvalPython" not in plan
 
 
 PROPS = [

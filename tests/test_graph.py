@@ -11,6 +11,7 @@ from lexspark.operators import sets as S
 from lexspark.operators.choose import body_choices, select_annex, select_manifestation
 from lexspark.operators.filters import between_exclusive, concept_filter, corrigenda_filter, sectors, type_filter
 from lexspark.operators.scale import number_rows, salted_join
+from lexspark.operators.sequence import number_in_order, section_by_headings
 from lexspark.sources.landed import drop_incomplete, notice_fields, parse_listing, read_bindings, read_typed_bindings
 
 
@@ -181,3 +182,16 @@ def test_body_choices(spark):
         "c": (None, ("xhtml", None)),
         "d": (("html", None), ("html", None)),
     }
+
+
+def test_running_sum_spreads_a_hot_key(spark):
+    df = spark.range(2000).select(F.when(F.col("id") < 1500, 0).otherwise(F.col("id") % 5 + 1).alias("k"), "id")
+    got = section_by_headings(df.repartition(4), ["k"], "id", F.col("id") % 3 == 0).collect()
+    for k in range(6):
+        seen, expected = sorted((r["id"], r["section"]) for r in got if r["k"] == k), 0
+        for i, section in seen:
+            expected += i % 3 == 0
+            assert section == expected
+    assert len(got) == 2000
+    numbers = number_in_order(df, ["k"], "id").filter("k = 0").orderBy("id").collect()
+    assert [r["number"] for r in numbers] == list(range(1, 1501))
