@@ -11,6 +11,7 @@ from lexspark.functions.markup import flatten_wrappers, is_missing, parses
 from lexspark.functions.text import date_from_title, first_nonempty, normalize_text
 from lexspark.model import LANGUAGE
 from lexspark.operators.graph import with_original
+from lexspark.operators.scale import by_key
 from lexspark.operators.sequence import join_ordered
 from lexspark.operators.tokens import html_tokens, inside_first, with_levels
 
@@ -23,11 +24,15 @@ def html_titles(manifestations: DataFrame, wanted: DataFrame | None = None) -> D
     pages = manifestations.filter(
         (F.col("role") == "main") & (F.col("fmt") == "xhtml")
         & F.col("body").contains("eli-main-title") & parses(F.col("body"))
-    ).select("celex_id", flatten_wrappers(F.col("body")).alias("html"))
-    if wanted is not None:
-        pages = pages.join(wanted.select("celex_id").distinct(), "celex_id", "left_semi")
+    ).select("celex_id", "body")
     keys = ["celex_id"]
-    tokens = with_levels(html_tokens(pages, keys, "html", loose=True), keys)
+    pages = by_key(pages, keys)
+    if wanted is not None:
+        # same partitioning on both sides, and a join that keeps it for the tokens
+        ids = by_key(wanted.select("celex_id"), keys).hint("shuffle_hash")
+        pages = pages.join(ids, "celex_id", "left_semi")
+    pages = pages.withColumn("html", flatten_wrappers(F.col("body")))
+    tokens = with_levels(html_tokens(pages, keys, "html", partitioned=True, loose=True), keys)
     inner = inside_first(tokens, keys, (F.col("tag") == "div") & (F.col("class") == "eli-main-title"))
     runs = inner.filter(F.col("kind") == "text").withColumn("text", normalize_text(F.col("text")))
     return runs.groupBy("celex_id").agg(join_ordered("pos", F.col("text"), " ").alias("html_title"))
