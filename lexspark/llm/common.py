@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import pickle
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,12 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def broadcast_object(spark: SparkSession, value: object) -> Callable[[], object]:
+    """Send an object of bounded size to the workers; call the result there to get it."""
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(sent.value)
+
+
 def buckets_for(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
