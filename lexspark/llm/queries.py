@@ -21,4 +21,6 @@ def query(name: str, sql: str | None = None):
 
 
 def load() -> None:
-    from lexspark.llm import q_classifier, q_language, q_quality, q_tokens, q_urls  # noqa: F401
+    from lexspark.llm import (  # noqa: F401
+        q_classifier, q_decontamination, q_language, q_mixing, q_quality, q_tokens, q_urls,
+    )
