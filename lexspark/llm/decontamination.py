@@ -50,13 +50,12 @@ def template_of(words: str) -> Column:
 def windows(df: DataFrame, key: str, lengths: list[int], text: str = "text") -> DataFrame:
     """One row per window: key, words, template, size (window words), pos, h (hash of the template window)."""
     rows = df.select(key, words_of(F.col(text)).alias("words")).withColumn("template", template_of("words"))
-    each = [
-        F.when(F.size("template") >= n, F.transform(
-            F.sequence(F.lit(0), F.size("template") - n),
-            lambda i, n=n: F.struct(F.lit(n).alias("size"), i.alias("pos"), F.xxhash64(F.slice("template", i + 1, n)).alias("h")),
-        )).otherwise(F.array())
-        for n in lengths
-    ]
+
+    def of_size(n: int) -> Column:
+        one = lambda i: F.struct(F.lit(n).alias("size"), i.alias("pos"), F.xxhash64(F.slice("template", i + 1, n)).alias("h"))
+        return F.when(F.size("template") >= n, F.transform(F.sequence(F.lit(0), F.size("template") - n), one)).otherwise(F.array())
+
+    each = [of_size(n) for n in lengths]
     return rows.select(key, "words", "template", F.inline(F.concat(*each) if len(each) > 1 else each[0]))
 
 
