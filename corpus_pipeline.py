@@ -1,4 +1,4 @@
-"""The corpus pipeline: documents in, token blocks out.
+"""The corpus pipeline: documents in, token files out.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns of documents. The
 caller (here run) writes each result as Parquet and hands the reread table to the next stage.
@@ -9,7 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from lexspark.llm.common import read, written
+from lexspark.llm.decontamination import clean_documents
+from lexspark.llm.jaccard_join import one_of_each
+from lexspark.llm.mixing import mixed
+from lexspark.llm.q_mixing import TARGET
+from lexspark.llm.q_tokens import vocabulary
 from lexspark.llm.quality_rules import kept_documents
+from lexspark.llm.token_files import token_digest
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -17,11 +23,35 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return kept_documents(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of linked shingle sets stays: the one with the least id."""
+    return one_of_each(docs)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that leak a benchmark item go."""
+    return clean_documents(docs, read(spark, sf_dir, "benchmark"))
+
+
+def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as often as the temperature mixture takes it, at least once."""
+    return mixed(docs, TARGET)
+
+
+def token_output(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids written to bit-plane files and read back: place, length and checksum of every document."""
+    return token_digest(docs, vocabulary())
+
+
 STAGES = [
     ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("mixing sources to target weights", mixing),
+    ("token-ID / binary output", token_output),
 ]
 
-#: Connected components and the bisected exponent have no SQL form; the stages are tested against brute force.
+#: Connected components, the bisected exponent and the tokenizer have no SQL form; tests hold run() against brute force.
 ORACLE_SQL = None
 
 

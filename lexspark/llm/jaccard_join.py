@@ -470,7 +470,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The rows of docs with the least id of their component. Of several rows with that id, one by its text."""
-    keep = near_duplicates(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep")).distinct()
-    rows = docs.join(keep, F.col("doc_id").cast("long").eqNullSafe(F.col("_keep")), "left_semi")
-    return rows.dropDuplicates(["doc_id", "text"])
+    """The rows of docs with the least id of their component; repeated rows of it once, and all rows without an id."""
+    found = near_duplicates(docs.filter("doc_id is not null"))
+    keep = found.filter("doc_id = component_id").select("doc_id").distinct()
+    kind = docs.schema["doc_id"].dataType
+    keep = keep.select(F.col("doc_id").cast(kind).alias("doc_id"))
+    one = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"])
+    return one.unionByName(docs.filter("doc_id is null"))
