@@ -91,7 +91,6 @@ def works(spark, sf):
 
 
 @query("q_quarantine", f"""
-SELECT celex_id, CASE WHEN date_adopted IS NULL THEN 'no date' ELSE 'no title' END AS reason
-FROM ({WORKS}) WHERE date_adopted IS NULL OR title = '[Unavailable]'""", TITLE_CTES)
+SELECT celex_id, 'no date' AS reason FROM ({WORKS}) WHERE date_adopted IS NULL""", TITLE_CTES)
 def quarantine(spark, sf):
     return R.with_quarantine(built_works(spark, sf))[1].select("celex_id", "reason")

@@ -73,9 +73,10 @@ SELECT DISTINCT celex_id FROM works_src
 WHERE d > DATE '1995-03-01' AND d < DATE '1998-09-02' AND ty IN ('R', 'L') AND sector IN ('3', '0')
   AND NOT regexp_matches(celex_id, '\\([0-9]{2}\\)$')
   AND (celex_id IN (SELECT celex_id FROM tags_src WHERE uri IN
-        (SELECT uri FROM matches_src WHERE keyword IN ('RED', 'ring'))))""", "works_src tags_src matches_src")
+        (SELECT uri FROM labels_src WHERE scheme = 1 AND (lower(lang) = 'en' OR lower(lang) LIKE 'en-%')
+           AND (contains(lower(label), 'red') OR contains(lower(label), 'ring')))))""", "works_src tags_src labels_src")
 def discover(spark, sf):
-    uris = keyword_concepts(I.labels(spark, sf), SPEC)
+    uris = keyword_concepts(I.labels(spark, sf), SPEC, scheme="1")
     return discover_works(I.props(spark, sf), SPEC, I.tags(spark, sf), uris)
 
 

@@ -10,13 +10,16 @@ from lexspark.functions.text import let
 
 # One token per comment, script, style, CDATA section, tag or text run. Every
 # character belongs to exactly one token, so the tokens rebuild the page.
+# The rest of a tag: quoted values may hold '>'. Possessive, so that the engine
+# runs it as a loop and no tag, however long or broken, deepens the stack.
+_REST = r"(?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+>"
 TOKEN = (
     r"(?is)<!--.*?-->"
     r"|<script\b.*?</script\s*>"
     r"|<style\b.*?</style\s*>"
     r"|<!\[CDATA\[.*?\]\]>"
-    r"|<[a-z/!?][^>\"']*(?:(?:\"[^\"]*\"|'[^']*')[^>\"']*)*>"
-    r"|[^<]+|<"
+    r"|<[a-z/!?]" + _REST +
+    r"|[^<]++|<"
 )
 VOID_TAGS = (
     "area", "base", "br", "col", "embed", "hr", "img", "input", "link",
@@ -33,7 +36,8 @@ STRUCTURES = ("standard", "manual", "plain")
 MANUAL_CLASSES = ("li ManualConsidrant", "Titrearticle", "Annexetitre")
 
 _OPAQUE = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
-_DIV_CUT = _OPAQUE + r"|</?(?:[a-z][\w.-]*:)?div\b[^>]*>"
+_DIV = r"<(?:[a-z][\w.-]*+:)?div\b" + _REST
+_DIV_CUT = _OPAQUE + r"|</?(?:[a-z][\w.-]*+:)?div\b" + _REST
 
 
 def raw_tokens(html: Column) -> Column:
@@ -64,11 +68,15 @@ def tag_name(raw: Column) -> Column:
 
 
 def attribute(raw: Column, name: str) -> Column:
-    found = F.regexp_extract(raw, rf"(?is)\s{name}\s*=\s*([\"'])(.*?)\1", 2)
-    return F.when(F.contains(raw, F.lit("=")), found).otherwise("")
+    """Value of an attribute, quoted or not, whatever the case of its name."""
+    found = F.regexp_extract(raw, rf"(?is)\s{name}\s*=\s*(\"[^\"]*+\"|'[^']*+'|[^\s\"'=<>`]++)", 1)
+    bare = let(found, lambda v: F.when(
+        v.rlike("^[\"']"), F.substring(v, F.lit(2), F.length(v) - 2)
+    ).otherwise(v))
+    return F.when(F.contains(raw, F.lit("=")), bare).otherwise("")
 
 
-_PROLOG = r"(?is)^\s*(?:<\?xml.*?\?>)?\s*(?:<!--.*?-->\s*)*"
+_PROLOG = r"(?is)^\s*+(?:<\?xml.*?\?>)?\s*+(?:<!--.*?-->\s*+)*+"
 _DOCTYPE = r"<!DOCTYPE[^>\[]*(?:\[.*?\])?\s*>"
 
 
@@ -104,7 +112,9 @@ def is_missing(body: Column) -> Column:
 
 
 def has_wrapper(html: Column) -> Column:
-    return html.rlike(r"(?is)<(?:[a-z][\w.-]*:)?div\b[^>]*\sclass\s*=\s*[\"']content[\"']")
+    """Some div of class 'content'. The cheap test decides for most pages."""
+    divs = F.regexp_extract_all(html, F.lit("(?is)" + _DIV), F.lit(0))
+    return html.rlike(r"(?i)class\s*=\s*[\"']?content\b") & F.exists(divs, lambda t: attribute(t, "class") == "content")
 
 
 def flatten_wrappers(html: Column) -> Column:
@@ -182,20 +192,31 @@ def _without_opaque(html: Column) -> Column:
     ).otherwise(h))
 
 
+_MARKED = r"rct_|art_|TexteOnly|" + "|".join(MANUAL_CLASSES)
+_DIV_OR_P = r"(?is)<(?:[a-z][\w.-]*+:)?(?:div|p)\b" + _REST
+
+
 def structure_of(html: Column) -> Column:
-    """standard, manual, plain or NULL, tested in this order on the page text.
-    A page that only has annex sections is not a standard page."""
-    tag = lambda name: rf"<(?:[a-zA-Z][\w.-]*:)?(?i:{name})\b[^>]*\s"
-    classes = "|".join(MANUAL_CLASSES)
+    """standard, manual, plain or NULL, tested in this order on the page's div
+    and p tags, cut by the same rule as tokens. A page that only has annex
+    sections is not a standard page."""
 
-    def test(page: Column) -> Column:
+    def test(tags: Column) -> Column:
+        some = lambda name, attr, good: F.exists(
+            tags, lambda t: (tag_name(t) == name) & good(attribute(t, attr))
+        )
         return (
-            F.when(page.rlike(tag("div") + r"id\s*=\s*[\"'](?:rct_|art_)"), "standard")
-            .when(page.rlike(tag("p") + rf"class\s*=\s*[\"'](?:{classes})[\"']"), "manual")
-            .when(page.rlike(tag("div") + r"id\s*=\s*[\"']TexteOnly[\"']"), "plain")
+            F.when(some("div", "id", lambda v: F.startswith(v, F.lit("rct_")) | F.startswith(v, F.lit("art_"))), "standard")
+            .when(some("p", "class", lambda v: v.isin(*MANUAL_CLASSES)), "manual")
+            .when(some("div", "id", lambda v: v == "TexteOnly"), "plain")
         )
 
-    return let(_without_opaque(html), test)
+    def marked(page: Column) -> Column:
+        # only tags that can decide are looked at
+        tags = F.filter(F.regexp_extract_all(page, F.lit(_DIV_OR_P), F.lit(0)), lambda t: t.rlike(_MARKED))
+        return F.when(page.rlike(_MARKED), let(tags, test))
+
+    return let(_without_opaque(html), marked)
 
 
 _START_NAME = (

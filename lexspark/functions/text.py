@@ -126,7 +126,8 @@ def decode_literal(value: Column, kind: Column, datatype: Column) -> Column:
         family == "date",
         F.when(text.rlike(r"^\d{4}-\d{1,2}-\d{1,2}$"), F.try_to_date(text, "y-M-d")),
     )
-    v_time = F.when(family == "timestamp", text.try_cast("timestamp"))
+    dated = text.rlike(r"^\s*-?\d{4,}-\d{1,2}-\d{1,2}")  # a time alone would become today's
+    v_time = F.when((family == "timestamp") & dated, text.try_cast("timestamp"))
     v_text = F.when((family == "string") | ((family == "timestamp") & v_time.isNull()), text)
     bad = (
         (family.isin("integer", "year") & v_long.isNull())

@@ -53,17 +53,16 @@ def concept_filter(
     df: DataFrame, tags: DataFrame, uris: DataFrame | Sequence[str] | None, key: str = "celex_id"
 ) -> DataFrame:
     """Keep rows tagged with at least one concept. ``uris`` is a list, or a
-    table with a ``uri`` column; None or an empty list does not filter."""
+    table with a ``uri`` column; none, or an empty list or table, does not
+    filter."""
     if uris is None:
         return df
     if not isinstance(uris, DataFrame):
-        if not uris:
-            return df
-        picked = tags.filter(F.col("uri").isin(*uris)) if len(uris) <= 500 else None
-        if picked is None:
-            uris = df.sparkSession.createDataFrame([(u,) for u in set(uris)], "uri string")
-    if isinstance(uris, DataFrame):
-        picked = tags.join(broadcast_if_small(uris.select("uri").distinct()), "uri", "left_semi")
+        uris = df.sparkSession.createDataFrame([(u,) for u in set(uris)], "uri string")
+    wanted = uris.select("uri").filter("uri is not null").distinct()
+    if wanted.isEmpty():
+        return df
+    picked = tags.join(broadcast_if_small(wanted), "uri", "left_semi")
     # one row per key before the join: a popular concept does not travel
     return df.join(picked.select(key).distinct(), key, "left_semi")
 

@@ -8,15 +8,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexspark.functions.ids import is_consolidated, original_celex
-from lexspark.functions.text import expression_in_language
+from lexspark.functions.text import expression_in_language, let
 from lexspark.model import (
     P_CELEX, P_DATE, P_EXPRESSION_OF, P_LANGUAGE, P_TITLE, RELATION_PREDICATES,
 )
 from lexspark.operators.scale import salted_join
 
-FEW_NEEDLES = 32
-CHUNK = 100_000
-
 
 def match_pattern(triples: DataFrame, pattern: Sequence[tuple[str, str]]) -> DataFrame:
     """Subjects that have every predicate of the pattern, one column per value.
@@ -81,33 +78,17 @@ def having_language(df: DataFrame, expressions: DataFrame, key: str) -> DataFram
 def contains_join(
     df: DataFrame, text: str, needles: Sequence[str], name: str, ignore_case: bool = False
 ) -> DataFrame:
-    """One row per (row of df, needle contained in its text). No cross join:
-    a few needles are tested inside the row; more are matched by an equi-join
-    on the row's own substrings of the needle lengths, which is exact."""
+    """One row per (row of df, needle contained in its text); none for a NULL
+    text. The needles are a constant of the plan, tested inside the row, so
+    only hits become rows: no join, no shuffle. Case is folded by Spark on both
+    sides, whatever the number of needles."""
     fold = F.lower if ignore_case else (lambda c: c)
     wanted = sorted(set(needles))
     if not wanted:
         return df.withColumn(name, F.lit(None).cast("string")).filter(F.lit(False))
-    if len(wanted) <= FEW_NEEDLES:
-        hits = F.filter(
-            F.array(*[F.lit(n) for n in wanted]), lambda n: F.contains(fold(F.col(text)), fold(n))
-        )
-        return df.withColumn(name, F.explode(hits))
-    rows = [(n, n.lower() if ignore_case else n) for n in wanted]
-    table = df.sparkSession.createDataFrame(rows, f"{name} string, _piece string")
-    lengths = sorted({len(piece) for _, piece in rows})
-    low = fold(F.col(text))
-
-    def substrings(n: int) -> Column:
-        starts = F.sequence(F.lit(1), F.greatest(F.length(low) - n + 1, F.lit(1)))
-        return F.when(
-            F.length(low) >= n, F.transform(starts, lambda i: F.substring(low, i, F.lit(n)))
-        ).otherwise(F.array().cast("array<string>"))
-
-    pieces = F.flatten(F.array(*[substrings(n) for n in lengths]))
-    if 0 in lengths:
-        pieces = F.array_append(pieces, F.lit(""))
-    return df.withColumn("_piece", F.explode(F.array_distinct(pieces))).join(table, "_piece").drop("_piece")
+    table = F.array(*[F.struct(F.lit(n).alias("n"), fold(F.lit(n)).alias("f")) for n in wanted])
+    hits = let(fold(F.col(text)), lambda t: F.filter(table, lambda x: F.contains(t, x["f"])))
+    return df.withColumn("_hit", F.explode(hits)).withColumn(name, F.col("_hit")["n"]).drop("_hit")
 
 
 def match_keywords(labels: DataFrame, keywords: Sequence[str], label: str = "label") -> DataFrame:
@@ -169,19 +150,23 @@ def merge_labels(preferred: DataFrame, alternative: DataFrame) -> DataFrame:
     return label_sets(preferred.select(*cols).unionByName(alternative.select(*cols)))
 
 
-def label_map(matches: DataFrame, max_list: int = CHUNK) -> DataFrame:
-    """Map concept -> labels per keyword. A keyword with more than ``max_list``
-    concepts is spread over several rows (``part`` 0, 1, ...)."""
-    return _to_maps(label_sets(matches), ["keyword"], F.col("uri"), F.col("labels"), "concepts", max_list)
+def label_map(matches: DataFrame, parts: int = 1) -> DataFrame:
+    """Map concept -> labels per keyword; with ``parts`` above 1 over so many
+    rows per keyword (``part`` = hash of the concept), whatever their number."""
+    entry = F.struct(F.col("uri").alias("k"), F.col("labels").alias("v"))
+    part = F.pmod(F.xxhash64("uri"), F.lit(parts)).cast("int").alias("part")
+    return label_sets(matches).groupBy("keyword", part).agg(
+        F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("concepts")
+    )
 
 
-def relation_map(relations: DataFrame, max_list: int = CHUNK) -> DataFrame:
-    """Map type -> list of targets per work, in ``pos`` order. The lists of a
-    work with more than ``max_list`` targets of one type are spread over several
-    rows (``part`` 0, 1, ...), so no row grows without bound."""
-    keys = ["celex_source", "relation_type"]
-    rows = _with_part(relations, keys, F.xxhash64("celex_target", "pos"), max_list)
-    lists = rows.groupBy(*keys, "part").agg(
+def relation_map(relations: DataFrame, span: int | None = None) -> DataFrame:
+    """Map type -> list of targets per work, in ``pos`` order. With ``span``
+    a row holds the targets of one range of that many positions (``part`` 0,
+    1, ...), so the parts follow each other; without it a work is one row."""
+    part = F.lit(0) if span is None else F.floor(F.col("pos") / F.lit(span)).cast("int")
+    keys = ["celex_source", "relation_type", part.alias("part")]
+    lists = relations.groupBy(*keys).agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct("pos", "celex_target"))),
             lambda x: x["celex_target"],
@@ -194,22 +179,6 @@ def relation_map(relations: DataFrame, max_list: int = CHUNK) -> DataFrame:
     )
 
 
-def _with_part(df: DataFrame, keys: list[str], spread: Column, max_list: int) -> DataFrame:
-    sizes = df.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / F.lit(max_list)).cast("int").alias("_parts"))
-    hot = sizes.filter(F.col("_parts") > 1)
-    return df.join(hot, keys, "left").withColumn(
-        "part", F.pmod(spread, F.coalesce("_parts", F.lit(1))).cast("int")
-    ).drop("_parts")
-
-
-def _to_maps(df, keys, entry_key, entry_value, name, max_list):
-    rows = _with_part(df, keys, F.xxhash64(entry_key), max_list)
-    entry = F.struct(entry_key.alias("k"), entry_value.alias("v"))
-    return rows.groupBy(*keys, "part").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(entry))).alias(name)
-    )
-
-
 def pivot_properties(properties: DataFrame, key: str = "celex_id") -> DataFrame:
     """Single-valued properties of each document: rows (key, data_type, value,
     pos) to (key, title, date). The binding with the highest pos wins."""

@@ -38,6 +38,12 @@ def html_titles(manifestations: DataFrame, wanted: DataFrame | None = None) -> D
     return runs.groupBy("celex_id").agg(join_ordered("pos", F.col("text"), " ").alias("html_title"))
 
 
+def one_per_id(facts: DataFrame, *fields: str) -> DataFrame:
+    """One row (celex_id, fields) per id: of several values of a field the
+    greatest, so a work given twice stays one work, and a re-run agrees."""
+    return facts.groupBy("celex_id").agg(*[F.max(c).alias(c) for c in fields])
+
+
 def resolve_title(
     ids: DataFrame, graph: DataFrame, notices: DataFrame, manifestations: DataFrame | None = None
 ) -> DataFrame:
@@ -132,11 +138,11 @@ def build_works(
 
 
 def quarantine_reason(works: DataFrame) -> DataFrame:
-    """Adds ``reason``: why a work is not fit for the final table, or NULL."""
+    """Adds ``reason``: why a work is not fit for the final table, or NULL. A
+    work without a title keeps its placeholder and is fit."""
     return works.withColumn(
         "reason",
-        F.when(F.col("date_adopted").isNull(), "no date")
-        .when(F.col("title") == UNAVAILABLE, "no title"),
+        F.when(F.col("date_adopted").isNull(), "no date"),
     )
 
 

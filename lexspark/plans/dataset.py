@@ -12,7 +12,7 @@ from lexspark.functions.markup import flatten_wrappers
 from lexspark.model import UNIT_TYPES
 from lexspark.operators.choose import body_choices
 from lexspark.operators.graph import relations_with_original
-from lexspark.operators.resolve import build_works, resolve_date, resolve_html, resolve_title
+from lexspark.operators.resolve import build_works, one_per_id, resolve_date, resolve_html, resolve_title
 from lexspark.operators.scale import by_key, materialize, salted_join
 from lexspark.operators.units import extract_units, type_bits
 from lexspark.plans.discover import discover_works, keyword_concepts, listed_works
@@ -108,7 +108,9 @@ def _units_of(manifestations: DataFrame, jobs: DataFrame) -> DataFrame:
 @dataclass(frozen=True)
 class Inputs:
     """Landed tables. Only ``manifestations`` and ``properties`` are needed;
-    ``properties``: celex_id, title, date, type, sector."""
+    ``properties``: celex_id, title, date, type, sector; ``labels``: uri, label,
+    lang, and scheme when ``scheme`` limits keywords to one. An input that the
+    job asks for and that is missing is an error."""
 
     manifestations: DataFrame
     properties: DataFrame
@@ -119,27 +121,31 @@ class Inputs:
     reviewed: DataFrame | None = None
     dossiers: DataFrame | None = None
     adopts: DataFrame | None = None
+    scheme: str | None = None
 
 
 def select_ids(inputs: Inputs, spec: JobSpec) -> DataFrame:
     if isinstance(spec.data, ListSpec):
         return listed_works(inputs.properties.sparkSession, spec.data, inputs.dossiers, inputs.adopts)
-    uris = keyword_concepts(inputs.labels, spec.data, inputs.reviewed) if inputs.labels is not None else None
+    uris = keyword_concepts(inputs.labels, spec.data, inputs.reviewed, scheme=inputs.scheme)
     return discover_works(inputs.properties, spec.data, inputs.tags, uris)
 
 
 def build_dataset(inputs: Inputs, spec: JobSpec) -> dict[str, DataFrame]:
-    """The lazy tables works, text_units and relations (without row ids)."""
+    """The tables works, text_units and relations (without row ids). Narrow
+    steps run here already (selected ids, body choices); the tables are lazy."""
     ids = select_ids(inputs, spec)
     notices = inputs.notices
     if notices is None:
         notices = inputs.properties.sparkSession.createDataFrame(
             [], "celex_id string, notice_title string, notice_date date"
         )
+    graph = one_per_id(inputs.properties, "title", "date")
+    notices = one_per_id(notices, "notice_title", "notice_date")
     # an id that is not valid (a corrigendum) has a work and relations, no body
     readable = inputs.manifestations.filter(is_valid_celex(F.col("celex_id")))
-    titles = resolve_title(ids, inputs.properties, notices, readable)
-    dates = resolve_date(titles, inputs.properties, notices)
+    titles = resolve_title(ids, graph, notices, readable)
+    dates = resolve_date(titles, graph, notices)
     bodies = resolve_html(readable, ids) if spec.output.include_raw_full_text else None
     tables = {
         "works": build_works(ids, titles, dates, bodies),
@@ -151,7 +157,7 @@ def build_dataset(inputs: Inputs, spec: JobSpec) -> dict[str, DataFrame]:
 
 def dataset_relations(ids: DataFrame, relations: DataFrame | None, spec: JobSpec) -> DataFrame:
     cols = ["celex_source", "celex_target", "relation_type"]
-    if relations is None or not spec.relations.include_relations:
+    if not spec.relations.include_relations or relations is None:
         return ids.sparkSession.createDataFrame([], ", ".join(f"{c} string" for c in cols))
     full = relations.select(*cols).filter(F.length("celex_target") > 0)
     sources = ids.select(F.col("celex_id").alias("celex_source"))

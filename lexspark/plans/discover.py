@@ -36,15 +36,27 @@ def discover_works(
         transpositions=spec.include_national_transpositions,
     )
     df = X.corrigenda_filter(df, spec.include_corrigenda)
-    if tags is not None:
+    if uris is not None:
+        if tags is None:
+            raise ValueError("a concept filter needs the tags of the works")
         df = X.concept_filter(df, tags, uris)
     return df.select("celex_id").distinct()
 
 
-def keyword_concepts(labels: DataFrame, spec: DiscoverSpec, reviewed: DataFrame | None = None) -> DataFrame | None:
-    """Concept ids of the spec's keywords, after review; None without keywords."""
+def keyword_concepts(
+    labels: DataFrame | None, spec: DiscoverSpec, reviewed: DataFrame | None = None,
+    language: str = "en", scheme: str | None = None,
+) -> DataFrame | None:
+    """Concept ids of the spec's keywords, after review; None without keywords.
+    Only labels in the language count (columns uri, label, lang), and with a
+    scheme only those of its concepts (column scheme)."""
     if not spec.filter_keywords:
         return None
+    if labels is None:
+        raise ValueError("filter_keywords need the labels of the concepts")
+    labels = X.language_filter(labels, tag=language)
+    if scheme is not None:
+        labels = labels.filter(F.col("scheme").cast("string") == scheme)
     return apply_review(match_keywords(labels, sorted(spec.filter_keywords)), reviewed)
 
 
@@ -52,6 +64,8 @@ def listed_works(
     spark: SparkSession, spec: ListSpec, dossiers: DataFrame | None = None, adopts: DataFrame | None = None
 ) -> DataFrame:
     ids = inline(spark, sorted(spec.celex_ids), "celex_id")
-    if not spec.procedure_numbers or dossiers is None:
+    if not spec.procedure_numbers:
         return ids
+    if dossiers is None or adopts is None:
+        raise ValueError("procedure_numbers need the dossiers and the adopted acts")
     return union_ids(ids, resolve_procedures(dossiers, adopts, sorted(spec.procedure_numbers)))

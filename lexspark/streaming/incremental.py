@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from lexspark import model
 from lexspark.functions.ids import is_valid_celex
 from lexspark.plans.dataset import Inputs, build_text_units, dataset_relations
-from lexspark.operators.resolve import build_works, resolve_date, resolve_html, resolve_title
+from lexspark.operators.resolve import build_works, one_per_id, resolve_date, resolve_html, resolve_title
 from lexspark.spec import JobSpec
 
 

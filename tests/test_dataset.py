@@ -1,5 +1,6 @@
 """Whole builds: selection, units with borrowed parts, sinks, the stream."""
 
+import dataclasses
 import datetime
 
 import pytest
@@ -89,7 +90,11 @@ def inputs(spark, bodies):
         relations=spark.createDataFrame(REL, "celex_source string, celex_target string, relation_type string"),
         notices=notices,
         tags=spark.createDataFrame([("32016R0001", "u1")], "celex_id string, uri string"),
-        labels=spark.createDataFrame([("u1", "Data protection"), ("u2", "x")], "uri string, label string"),
+        labels=spark.createDataFrame(
+            [("u1", "Data protection", "en", "1"), ("u2", "x", "en", "1"), ("u2", "data", "fr", "1"), ("u2", "data", "en-GB", "2")],
+            "uri string, label string, lang string, scheme string",
+        ),
+        scheme="1",
     )
 
 
@@ -122,8 +127,26 @@ def test_build_discovered(spark, inputs):
     assert [r["celex_id"] for r in tables["works"].collect()] == ["32016R0001"]
     assert tables["works"].collect()[0]["full_text_html"] is None
     assert tables["text_units"].count() == 3
-    no_match = JobSpec(data=DiscoverSpec(datetime.date(2016, 1, 1), datetime.date(2017, 1, 1), filter_keywords=frozenset({"zzz"})))
-    assert build_dataset(inputs, no_match)["works"].count() == 0
+    # no concept found is no concept filter, as without keywords
+    between = (datetime.date(2016, 1, 1), datetime.date(2017, 1, 1))
+    no_match = JobSpec(data=DiscoverSpec(*between, filter_keywords=frozenset({"zzz"})))
+    assert build_dataset(inputs, no_match)["works"].count() == build_dataset(inputs, JobSpec(data=DiscoverSpec(*between)))["works"].count()
+
+
+def test_missing_inputs_are_errors(inputs):
+    keywords = JobSpec(data=DiscoverSpec(datetime.date(2016, 1, 1), datetime.date(2017, 1, 1), filter_keywords=frozenset({"data"})))
+    numbers = JobSpec(data=ListSpec(procedure_numbers=frozenset({"2016/0001/COD"})))
+    for spec, gone in ((keywords, "labels"), (keywords, "tags"), (numbers, "dossiers"), (numbers, "adopts")):
+        with pytest.raises(ValueError):
+            build_dataset(dataclasses.replace(inputs, **{gone: None}), spec)
+
+
+def test_works_stay_unique(spark, inputs):
+    twice = dataclasses.replace(
+        inputs, properties=inputs.properties.unionByName(inputs.properties.withColumn("date", F.date_add("date", 1)))
+    )
+    ids = [r["celex_id"] for r in build_dataset(twice, JobSpec(data=LISTED))["works"].collect()]
+    assert len(ids) == len(set(ids))
 
 
 def test_export_and_append(spark, inputs, tmp_path):

@@ -135,3 +135,22 @@ def test_structure(spark):
         '<html><!-- <div id="art_1"> --></html>', '<x:div xmlns:x="u" id="art_1"/>',
     ]
     assert apply(spark, M.structure_of, given) == ["standard", "manual", "plain", None, None, "standard"]
+
+
+def test_long_and_broken_tags_do_not_deepen_the_stack(spark):
+    attributes = "<html><div " + " ".join(f'a{i}="{i}"' for i in range(100_000)) + ' id="rct_1">t</div></html>'
+    missing_quote = '<html><p class="b>t</p>' + '<p class="b">t</p>' * 50_000 + '<div id="TexteOnly"></div></html>'
+    assert apply(spark, lambda c: F.array_join(M.raw_tokens(c), ""), [attributes, missing_quote]) == [attributes, missing_quote]
+    assert apply(spark, M.structure_of, [attributes, missing_quote])[0] == "standard"
+    assert apply(spark, lambda c: F.size(M.raw_tokens(c)), [missing_quote])[0] > 1000
+
+
+def test_attributes_as_pages_write_them(spark):
+    given = [
+        "<html><div id=TexteOnly></div></html>", "<html><DIV ID='TexteOnly'></DIV></html>",
+        '<html><div title="a>b" id="rct_1"></div></html>', "<html><p CLASS='Titrearticle'></p></html>",
+        '<html><div data-x="rct_1"></div></html>',
+    ]
+    assert apply(spark, M.structure_of, given) == ["plain", "plain", "standard", "manual", None]
+    tags = ["<a id=x>", "<a ID = 'y z'>", '<a id="">', "<a>", '<a id="p>q" b>']
+    assert apply(spark, lambda c: M.attribute(c, "id"), tags) == ["x", "y z", "", "", "p>q"]

@@ -33,13 +33,16 @@ def test_bindings(spark):
 
 
 def test_contains_join_few_and_many_agree(spark):
-    labels = spark.createDataFrame([("Economic policy",), ("blue ring",), ("x",), ("",)], "label string")
+    labels = spark.createDataFrame([("Economic policy",), ("blue ring",), ("x",), ("",), (None,)], "label string")
     few = ["ECON", "ring", "zzz", "o"]
     many = few + [f"none{i}" for i in range(100)]
     expected = [("Economic policy", "ECON"), ("Economic policy", "o"), ("blue ring", "ring")]
     assert rows(G.match_keywords(labels, few), "label", "keyword") == expected
     assert rows(G.match_keywords(labels, many), "label", "keyword") == expected
     assert G.match_keywords(labels, []).count() == 0
+    # an empty needle is in every text but not in NULL, whatever the number of needles
+    for needles in ([""], [""] + many):
+        assert G.match_keywords(labels, needles).filter("keyword = ''").count() == 4
 
 
 def test_labels(spark):
@@ -55,8 +58,9 @@ def test_labels(spark):
 def test_maps_are_split_not_cut(spark):
     rel = spark.createDataFrame([("s", f"t{i}", "cites", i) for i in range(50)] + [("q", "t", "amends", 1)],
                                 "celex_source string, celex_target string, relation_type string, pos int")
-    bags = G.relation_map(rel, max_list=10)
-    assert bags.filter("celex_source = 's'").count() > 1
+    bags = G.relation_map(rel, span=10)
+    parts = [r["relations"]["cites"] for r in bags.filter("celex_source = 's'").orderBy("part").collect()]
+    assert parts == [[f"t{i}" for i in range(a, a + 10)] for a in range(0, 50, 10)]  # parts follow each other by pos
     flat = bags.select("celex_source", F.explode("relations").alias("k", "v")).select("celex_source", F.explode("v"))
     assert flat.count() == 51
     whole = G.relation_map(rel).filter("celex_source = 's'").collect()
@@ -155,6 +159,7 @@ def test_filters(spark):
     assert concept_filter(df, tags, []).count() == 2
     uris = spark.createDataFrame([("u3",)], "uri string")
     assert rows(concept_filter(df, tags, uris), "celex_id") == [("b(01)",)]
+    assert concept_filter(df, tags, uris.limit(0)).count() == 2  # an empty table is an empty list
 
 
 def test_review(spark):
