@@ -18,22 +18,26 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
+from tokenizers import Tokenizer
 
 from lexspark.llm.common import ragged, shared_folder, slices
+from lexspark.llm.token_counts import PRE_TOKEN, byte_letters
 
 BLOCK = 8192
 CHUNK_IDS = 1 << 17
 BATCH_CHARS = 4_000_000
-MEMO = 300_000
+MEMO = 500_000
 CHUNK_SCHEMA = "shard int, chunk int, doc_ids array<long>, doc_lens array<long>, widths int, n_ids long, planes array<binary>"
 
 
@@ -67,55 +71,61 @@ def chunk_ids(planes: list[bytes], n: int, width: int) -> np.ndarray:
 
 
 @dataclass
-class UnitEncoder:
-    """Encodes whole texts with a tokenizers file. Texts are cut at single spaces that stand between non-space, where a
-    byte-level vocabulary always starts a new pre-token; each distinct part goes to the library once and is remembered."""
+class Pool:
+    """Named runs of ids."""
 
-    path: str
+    names: dict[str, int] = field(default_factory=dict)
+    ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint32))
+    starts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    sizes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
 
-    def __post_init__(self) -> None:
-        import re
+    def add(self, names: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.names.update(zip(names, range(len(self.names), len(self.names) + len(names))))
+        self.starts = np.r_[self.starts, len(self.ids) + np.cumsum(sizes) - sizes]
+        self.sizes = np.r_[self.sizes, sizes]
+        self.ids = np.r_[self.ids, ids.astype(np.uint32)]
+
+    def of(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the runs in turn, and their sizes."""
+        sizes = self.sizes[which]
+        return self.ids[ragged(self.starts[which], sizes)], sizes
 
-        from tokenizers import Tokenizer
 
+@dataclass
+class WordEncoder:
+    """Encodes whole texts with a byte-level file of the tokenizers library. Pre-tokens are cut with the fixed pattern of
+    such files; each new one goes through the library's merge model once and is remembered, up to MEMO of them. A text
+    that holds a special string goes to the library as it is."""
+
+    path: str
+
+    def __post_init__(self) -> None:
         self.tokenizer = Tokenizer.from_file(self.path)
-        self.gap = re.compile(r"\s ")
-        self.forget()
+        self.specials = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
+        self.pre = regex.compile(PRE_TOKEN)
+        self.letters = dict(enumerate(byte_letters()))
+        self.words = Pool()
 
-    def forget(self) -> None:
-        self.known: dict[str, int] = {}
-        self.pool, self.offsets, self.sizes = [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        self.pooled = 0
+    def cut(self, text: str) -> list[str]:
+        return [text] if any(s in text for s in self.specials) else self.pre.findall(text)
 
-    def parts(self, text: str) -> list[str]:
-        if not text or text[0] == " " or self.gap.search(text):
-            return [text] if text else []
-        first, *rest = text.split(" ")
-        return [first, *[" " + x for x in rest]]
+    def ids_of(self, word: str) -> list[int]:
+        if any(s in word for s in self.specials):
+            return self.tokenizer.encode(word, add_special_tokens=False).ids
+        return [t.id for t in self.tokenizer.model.tokenize(word.encode("utf-8").decode("latin-1").translate(self.letters))]
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and the number of each text."""
-        cut = [self.parts(t) for t in texts]
-        if len(self.known) > MEMO:
-            self.forget()
-        fresh = list(set().union(*cut) - self.known.keys()) if cut else []
-        if fresh:
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
-            sizes = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((x for ids in found for x in ids), np.uint32, int(sizes.sum()))
-            self.known.update(zip(fresh, range(len(self.known), len(self.known) + len(fresh))))
-            self.pool.append(flat)
-            self.offsets.append(self.pooled + np.cumsum(sizes) - sizes)
-            self.sizes.append(sizes)
-            self.pooled += len(flat)
-            self.pool, self.offsets, self.sizes = ([np.concatenate(x)] for x in (self.pool, self.offsets, self.sizes))
-        get = self.known.__getitem__
+        cut = [self.cut(t) for t in texts]
+        if len(self.words.names) > MEMO:
+            self.words = Pool()
+        new = list(set().union(*cut) - self.words.names.keys()) if cut else []
+        if new:
+            found = list(map(self.ids_of, new))
+            self.words.add(new, np.fromiter(chain.from_iterable(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found)))
         number = np.fromiter(map(len, cut), np.int64, len(cut))
-        which = np.fromiter((get(p) for c in cut for p in c), np.int64, int(number.sum()))
-        lens = self.sizes[0][which]
-        ids = self.pool[0][ragged(self.offsets[0][which], lens)]
-        sums = np.r_[0, np.cumsum(lens)]
-        ends = np.cumsum(number)
+        ids, sizes = self.words.of(np.fromiter(map(self.words.names.__getitem__, chain.from_iterable(cut)), np.int64, int(number.sum())))
+        sums, ends = np.r_[0, np.cumsum(sizes)], np.cumsum(number)
         return ids, sums[ends] - sums[ends - number]
 
 
@@ -123,10 +133,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, path: str, end_id: int = 0, b
     """Write the files below path: `chunks` and `index`."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import os
-
-        os.environ["RAYON_NUM_THREADS"], os.environ["TOKENIZERS_PARALLELISM"] = "1", "false"  # Spark has the cores
-        encoder, shard, chunk = UnitEncoder(vocabulary), TaskContext.get().partitionId(), 0
+        encoder, shard, chunk = WordEncoder(vocabulary), TaskContext.get().partitionId(), 0
         for pdf in batches:
             texts, keys = pdf["text"].tolist(), pdf["doc_id"].astype("Int64")
             for a, b in slices([len(t) for t in texts], BATCH_CHARS):
