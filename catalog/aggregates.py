@@ -11,6 +11,7 @@ from lexspark.functions.markup import MANUAL_CLASSES, structure_of
 from lexspark.operators import graph as G
 from lexspark.operators import tables as T
 from lexspark.operators.sequence import concat_ordered
+from lexspark.operators import tokens as K
 from lexspark.operators.tokens import html_tokens
 from lexspark.operators.units import ALL_TYPES, extract_units
 
@@ -109,8 +110,7 @@ SELECT keyword, count(DISTINCT uri) AS n_concepts, (SELECT count(DISTINCT uri) F
 FROM matches_src GROUP BY keyword""", "matches_src")
 def concept_counts(spark, sf):
     m = matches(spark, sf)
-    total = m.agg(F.count_distinct("uri")).scalar()
-    return G.concept_counts(m).withColumn("n_unique", total)
+    return G.concept_counts(m).crossJoin(F.broadcast(G.unique_concepts(m)))  # one row
 
 
 @query("q_concat_ordered", """
@@ -123,12 +123,7 @@ def concat(spark, sf):
 SELECT doc_id, doc_id % 3 = 0 AS is_standard, doc_id % 3 = 1 AS is_manual, doc_id % 3 = 2 AS is_plain FROM documents""")
 def structure_flags(spark, sf):
     t = html_tokens(I.legal_pages(spark, sf), ["doc_id"], "html", partitioned=True)
-    div, p = F.col("tag") == "div", F.col("tag") == "p"
-    return t.groupBy("doc_id").agg(
-        F.bool_or(div & F.col("id").rlike("^(rct|art)_")).alias("is_standard"),
-        F.bool_or(p & F.col("class").isin(*MANUAL_CLASSES)).alias("is_manual"),
-        F.bool_or(div & (F.col("id") == "TexteOnly")).alias("is_plain"),
-    )
+    return K.structure_flags(t, ["doc_id"])
 
 
 @query("q_outcome_counts", f"""

@@ -50,10 +50,7 @@ def keyword_join(spark, sf):
 SELECT DISTINCT d.proposal, coalesce(a.work, '') AS work FROM dossiers_src d LEFT JOIN adopts_src a USING (proposal)""",
        "dossiers_src adopts_src")
 def optional_join(spark, sf):
-    acts = I.adopts(spark, sf).distinct()
-    return I.dossiers(spark, sf).select("proposal").distinct().join(acts, "proposal", "left").select(
-        "proposal", F.coalesce("work", F.lit("")).alias("work")
-    )
+    return G.with_acts(I.dossiers(spark, sf).select("proposal").distinct(), I.adopts(spark, sf))
 
 
 @query("q_exists_semi", """

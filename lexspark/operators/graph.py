@@ -115,6 +115,13 @@ def relations_with_original(
     return added if only_added else relations.unionByName(added)
 
 
+def with_acts(proposals: DataFrame, adopts: DataFrame) -> DataFrame:
+    """Optional join: each proposal with every act that adopts it, or with an
+    empty ``work`` when there is none."""
+    acts = adopts.select("proposal", "work").distinct()
+    return proposals.join(acts, "proposal", "left").withColumn("work", F.coalesce("work", F.lit("")))
+
+
 def resolve_procedures(
     dossiers: DataFrame, adopts: DataFrame, procedures: Sequence[str]
 ) -> DataFrame:
@@ -125,8 +132,7 @@ def resolve_procedures(
         F.contains("proposal", F.lit("PC")) & ~F.contains("proposal", F.lit("("))
     )
     matched = contains_join(proposals, "ref", procedures, "procedure").select("procedure", "proposal").distinct()
-    acts = adopts.select("proposal", "work").distinct()
-    bound = matched.join(acts, "proposal", "left").withColumn("work", F.coalesce("work", F.lit("")))
+    bound = with_acts(matched, adopts)
     return (
         bound.select(
             F.when(F.col("work") != "", F.col("work")).otherwise(F.col("proposal")).alias("celex_id")
@@ -208,5 +214,10 @@ def concept_counts(matches: DataFrame) -> DataFrame:
     return matches.select("keyword", "uri").distinct().groupBy("keyword").agg(F.count(F.lit(1)).alias("n_concepts"))
 
 
+def unique_concepts(matches: DataFrame) -> DataFrame:
+    """One row: ``n_unique``, the concepts of all keywords together."""
+    return matches.agg(F.count_distinct("uri").alias("n_unique"))
+
+
 def order_labels(matches: DataFrame) -> DataFrame:
     return matches.orderBy("keyword", "label", "uri")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Sequence
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 100_000
 ROWS_PER_SALT = 10_000
+ROWS_OUT_PER_SALT = 1_000_000
 HOT_KEYS = 10_000
 
 
@@ -35,26 +37,35 @@ def salted_join(
     spread: Sequence[str],
     how: str = "inner",
     rows_per_salt: int = ROWS_PER_SALT,
+    rows_out: int = ROWS_OUT_PER_SALT,
 ) -> DataFrame:
     """Inner or left join on ``key`` where one key of ``many`` may hold a large
     share of all rows and ``other`` has several rows per key, so that the result
     of the hot key is many times its input. (Where ``other`` has one row per
     key a plain join will do: adaptive execution splits a hot partition.)
 
-    A key is hot when it holds more than ``rows_per_salt`` rows and more than
-    1/HOT_KEYS of all rows, so there are never more than HOT_KEYS hot keys and
-    their table is safe to broadcast. Hot keys are split into as many groups as
-    their size asks for, and only their rows of ``other`` are repeated; nothing
-    is repeated for the other keys. The group comes from a hash of the
-    ``spread`` columns, so a re-run task gives the same groups.
+    A key is hot when it holds more than ``rows_per_salt`` rows of ``many`` and
+    more than 1/HOT_KEYS of them all, or when its result is more than
+    ``rows_out`` rows and more than 1/HOT_KEYS of the whole result; so there
+    are never more than 2 * HOT_KEYS hot keys and their table is safe to
+    broadcast. Hot keys are split into as many groups as both sizes ask for
+    (never more than they have rows), and only their rows of ``other`` are
+    repeated; nothing is repeated for the other keys. The group comes from a
+    hash of the ``spread`` columns, so a re-run task gives the same groups.
     """
-    sizes = many.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    total = sizes.agg(F.sum("_n").alias("_all")).scalar()
-    floor = F.greatest(F.lit(rows_per_salt), F.ceil(total / F.lit(HOT_KEYS)))
-    hot = sizes.filter(F.col("_n") > floor).select(
-        key, F.ceil(F.col("_n") / F.lit(rows_per_salt)).cast("int").alias("_salts")
-    )
-    hot = F.broadcast(hot)  # at most HOT_KEYS rows, see above
+    sizes = many.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).join(
+        other.groupBy(key).agg(F.count(F.lit(1)).alias("_k")), key, "left"
+    ).withColumn("_made", F.col("_n") * F.coalesce("_k", F.lit(1)))
+    sizes = materialize(sizes)  # a few numbers per key, used twice
+    total = sizes.agg(F.sum("_n").alias("n"), F.sum("_made").alias("made")).collect()[0]
+    floor = lambda least, whole: max(least, -(-(whole or 0) // HOT_KEYS))
+    salts = F.least(F.col("_n"), F.greatest(
+        F.ceil(F.col("_n") / F.lit(rows_per_salt)), F.ceil(F.col("_made") / F.lit(rows_out))
+    ))
+    hot = sizes.filter(
+        (F.col("_n") > floor(rows_per_salt, total["n"])) | (F.col("_made") > floor(rows_out, total["made"]))
+    ).select(key, salts.cast("int").alias("_salts"))
+    hot = F.broadcast(hot)  # at most 2 * HOT_KEYS rows, see above
     left = many.join(hot, key, "left").withColumn(
         "_salt",
         F.pmod(F.xxhash64(*spread), F.coalesce("_salts", F.lit(1))).cast("int"),
@@ -74,7 +85,7 @@ def checkpoint_folder(spark: SparkSession) -> str:
         return current
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not sc.master.startswith("local"):
+        if not re.match(r"local(\[|$)", sc.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="lexspark-checkpoint-")
     sc.setCheckpointDir(named)

@@ -233,3 +233,14 @@ def extract_text(order: str = "pos", when: Column | None = None) -> Column:
     if when is not None:
         text = F.when(when, text)
     return normalize_text(join_ordered(order, text, " "))
+
+
+def structure_flags(tokens: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Which page structures each document's tokens show: is_standard,
+    is_manual, is_plain. One aggregate on the token table."""
+    div, p = F.col("tag") == "div", F.col("tag") == "p"
+    return tokens.groupBy(*keys).agg(
+        F.bool_or(div & F.col("id").rlike("^(rct|art)_")).alias("is_standard"),
+        F.bool_or(p & F.col("class").isin(*M.MANUAL_CLASSES)).alias("is_manual"),
+        F.bool_or(div & (F.col("id") == "TexteOnly")).alias("is_plain"),
+    )

@@ -131,10 +131,10 @@ def select_ids(inputs: Inputs, spec: JobSpec) -> DataFrame:
     return discover_works(inputs.properties, spec.data, inputs.tags, uris)
 
 
-def build_dataset(inputs: Inputs, spec: JobSpec) -> dict[str, DataFrame]:
+def build_dataset(inputs: Inputs, spec: JobSpec, ids: DataFrame | None = None) -> dict[str, DataFrame]:
     """The tables works, text_units and relations (without row ids). Narrow
     steps run here already (selected ids, body choices); the tables are lazy."""
-    ids = select_ids(inputs, spec)
+    ids = select_ids(inputs, spec) if ids is None else ids
     notices = inputs.notices
     if notices is None:
         notices = inputs.properties.sparkSession.createDataFrame(

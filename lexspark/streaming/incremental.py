@@ -1,16 +1,20 @@
-"""Incremental build: bodies arrive as files, each micro-batch is appended."""
+"""Incremental build: bodies arrive as files in micro-batches, in any split and order."""
 
 from __future__ import annotations
 
+import dataclasses
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexspark import model
-from lexspark.functions.ids import is_valid_celex
-from lexspark.plans.dataset import Inputs, build_text_units, dataset_relations
-from lexspark.operators.resolve import build_works, one_per_id, resolve_date, resolve_html, resolve_title
+from lexspark.functions.ids import is_consolidated, is_valid_celex, original_celex
+from lexspark.plans.dataset import Inputs, build_dataset, select_ids
 from lexspark.spec import JobSpec
 
+TABLES = {"works": "celex_id", "text_units": "celex_id", "relations": "celex_source"}
+BODY_KEYS = ["celex_id", "role", "fmt"]
+
 
 def stream_manifestations(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
     """Bodies that land in a folder, as a stream."""
@@ -21,46 +25,50 @@ def stream_manifestations(spark: SparkSession, path: str, files_per_batch: int =
 
 
 def write_batch(batch: DataFrame, batch_id: int, inputs: Inputs, spec: JobSpec, out: str) -> None:
-    """Build and write the documents of one micro-batch.
+    """Take in the bodies of one micro-batch and rewrite the documents they touch.
 
-    Each batch writes into folders of its own (batch=N) in overwrite mode, so
-    a replayed batch replaces what it wrote before and nothing is doubled. Ids
-    that an earlier batch wrote are skipped. Original acts and notices are
-    looked up in ``inputs``, which may hold bodies of earlier batches.
+    Bodies are kept under ``out/bodies``; of one (id, role, format) the latest
+    batch counts. A batch touches its own ids and the consolidated texts whose
+    original act arrived; those that the job selects and that have a main body
+    are built anew from all bodies so far, ``inputs.manifestations`` included.
+    Each batch writes folders of its own (batch=N) in overwrite mode, so a
+    replayed batch replaces what it wrote. ``current`` reads the latest version
+    of every document.
     """
     spark = batch.sparkSession
-    ids = batch.filter(F.col("role") == "main").select("celex_id").distinct()
-    done = _written_before(spark, f"{out}/works", batch_id)
-    if done is not None:
-        ids = ids.join(done, "celex_id", "left_anti")
-    landed = inputs.manifestations
-    new = batch.join(ids, "celex_id", "left_semi").filter(is_valid_celex(F.col("celex_id")))
-    known = landed.join(batch.select("celex_id").distinct(), "celex_id", "left_anti").unionByName(
-        batch.select(*landed.columns)
-    )
-    notices = inputs.notices
-    if notices is None:
-        notices = spark.createDataFrame([], "celex_id string, notice_title string, notice_date date")
-    titles = resolve_title(ids, inputs.properties, notices, new)
-    dates = resolve_date(titles, inputs.properties, notices)
-    bodies = resolve_html(new) if spec.output.include_raw_full_text else None
-    tables = {
-        "text_units": build_text_units(ids, known, spec.extraction),
-        "relations": dataset_relations(ids, inputs.relations, spec),
-        "works": build_works(ids, titles, dates, bodies),
-    }
-    for name, df in tables.items():
-        df.write.mode("overwrite").option("compression", "snappy").parquet(f"{out}/{name}/batch={batch_id}")
+    columns = [*BODY_KEYS, "body"]
+    batch.select(*columns).write.mode("overwrite").parquet(f"{out}/bodies/batch={batch_id}")
+    landed = spark.read.schema(f"{', '.join(f'{c} string' for c in columns)}, batch int").parquet(f"{out}/bodies")
+    landed = landed.filter(F.col("batch") <= batch_id)
+    touched = landed.filter(F.col("batch") == batch_id).select("celex_id").distinct()
+    # narrow: which ids have a main body, and which batch has the body that counts
+    before = inputs.manifestations.select(*columns, F.lit(-1).alias("batch"))
+    every = landed.unionByName(before)
+    latest = every.groupBy(*BODY_KEYS).agg(F.max("batch").alias("batch"))
+    main = latest.filter(F.col("role") == "main").select("celex_id").distinct()
+    versions = main.filter(is_consolidated(F.col("celex_id"))).withColumn("_original", original_celex(F.col("celex_id")))
+    borrowing = versions.join(touched.withColumnRenamed("celex_id", "_original"), "_original", "left_semi").select("celex_id")
+    wanted = select_ids(inputs, spec).select("celex_id").distinct()
+    ids = touched.unionByName(borrowing).distinct().join(main, "celex_id", "left_semi").join(wanted, "celex_id", "left_semi")
+    ids.write.mode("overwrite").parquet(f"{out}/versions/batch={batch_id}")
+    ids = spark.read.schema("celex_id string").parquet(f"{out}/versions/batch={batch_id}")
+    # only bodies of these documents and of their original acts are read further
+    needed = ids.unionByName(ids.select(original_celex(F.col("celex_id")).alias("celex_id"))).distinct()
+    bodies = every.join(needed, "celex_id", "left_semi").join(latest, [*BODY_KEYS, "batch"], "left_semi")
+    bodies = bodies.filter(is_valid_celex(F.col("celex_id"))).select(*columns).dropDuplicates(BODY_KEYS)
+    tables = build_dataset(dataclasses.replace(inputs, manifestations=bodies), spec, ids)
+    for name in TABLES:
+        tables[name].write.mode("overwrite").option("compression", "snappy").parquet(f"{out}/{name}/batch={batch_id}")
 
 
-def _written_before(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(folder):
-        return None
-    return spark.read.schema("celex_id string, batch int").parquet(path).filter(
-        F.col("batch") != batch_id
-    ).select("celex_id")
+def current(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """The table works, text_units or relations as of the last batch: of every
+    document the rows of the latest batch that built it."""
+    key = TABLES[name]
+    rows = spark.read.option("mergeSchema", "true").parquet(f"{out}/{name}")
+    built = spark.read.schema("celex_id string, batch int").parquet(f"{out}/versions")
+    latest = built.groupBy(F.col("celex_id").alias(key)).agg(F.max("batch").alias("batch"))
+    return rows.join(latest, [key, "batch"], "left_semi").drop("batch")
 
 
 def build_incremental(
