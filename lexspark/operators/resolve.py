@@ -11,7 +11,7 @@ from lexspark.functions.markup import flatten_wrappers, is_missing, parses
 from lexspark.functions.text import date_from_title, first_nonempty, normalize_text
 from lexspark.model import LANGUAGE
 from lexspark.operators.graph import with_original
-from lexspark.operators.scale import by_key
+from lexspark.operators.scale import by_key, only_keys
 from lexspark.operators.sequence import join_ordered
 from lexspark.operators.tokens import html_tokens, inside_first, with_levels
 
@@ -26,11 +26,12 @@ def html_titles(manifestations: DataFrame, wanted: DataFrame | None = None) -> D
         & F.col("body").contains("eli-main-title") & parses(F.col("body"))
     ).select("celex_id", "body")
     keys = ["celex_id"]
-    pages = by_key(pages, keys)
-    if wanted is not None:
-        # same partitioning on both sides, and a join that keeps it for the tokens
-        ids = by_key(wanted.select("celex_id"), keys).hint("shuffle_hash")
-        pages = pages.join(ids, "celex_id", "left_semi")
+    if wanted is None:
+        pages = by_key(pages, keys)
+    else:
+        # same partitioning on both sides, which the join keeps for the tokens
+        pages = by_key(only_keys(pages, wanted.select("celex_id")), keys)
+        pages = pages.join(by_key(wanted.select("celex_id"), keys), "celex_id", "left_semi")
     pages = pages.withColumn("html", flatten_wrappers(F.col("body")))
     tokens = with_levels(html_tokens(pages, keys, "html", partitioned=True, loose=True), keys)
     inner = inside_first(tokens, keys, (F.col("tag") == "div") & (F.col("class") == "eli-main-title"))
@@ -93,13 +94,13 @@ def resolve_date(titles: DataFrame, graph: DataFrame, notices: DataFrame) -> Dat
 def resolve_html(manifestations: DataFrame, ids: DataFrame | None = None) -> DataFrame:
     """(celex_id, full_text_html): the XHTML, else the plain HTML, wrappers
     flattened; page structure does not matter here. The choice is made on
-    narrow rows, so only the chosen bodies are shuffled."""
+    narrow rows; when they are few, only the chosen bodies are shuffled."""
     main = manifestations.filter((F.col("role") == "main") & ~is_missing(F.col("body")))
     rank = F.when(F.col("fmt") == "xhtml", 0).otherwise(1)
     chosen = main.groupBy("celex_id").agg(F.min_by("fmt", rank).alias("fmt"))
     if ids is not None:
         chosen = chosen.join(ids.select("celex_id").distinct(), "celex_id", "left_semi")
-    return main.join(chosen.hint("shuffle_hash"), ["celex_id", "fmt"]).select(
+    return only_keys(main, chosen.select("celex_id", "fmt")).join(chosen, ["celex_id", "fmt"]).select(
         "celex_id", flatten_wrappers(F.col("body")).alias("full_text_html")
     )
 

@@ -30,6 +30,16 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if small else df
 
 
+def only_keys(df: DataFrame, keys: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Wide rows whose key is in a narrow table, dropped in the scan when a
+    bounded count shows that the table is small; else df as it is. For callers
+    that join on the same key later anyway: there it only saves work."""
+    keys = keys.distinct()
+    if keys.limit(max_rows + 1).count() > max_rows:
+        return df
+    return df.join(F.broadcast(keys), keys.columns, "left_semi")
+
+
 def salted_join(
     many: DataFrame,
     other: DataFrame,

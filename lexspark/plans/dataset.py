@@ -13,7 +13,7 @@ from lexspark.model import UNIT_TYPES
 from lexspark.operators.choose import body_choices
 from lexspark.operators.graph import relations_with_original
 from lexspark.operators.resolve import build_works, one_per_id, resolve_date, resolve_html, resolve_title
-from lexspark.operators.scale import by_key, materialize, salted_join
+from lexspark.operators.scale import by_key, materialize, only_keys, salted_join
 from lexspark.operators.units import extract_units, type_bits
 from lexspark.plans.discover import discover_works, keyword_concepts, listed_works
 from lexspark.spec import ExtractionSpec, JobSpec, ListSpec
@@ -32,7 +32,9 @@ def unit_sources(ids: DataFrame, manifestations: DataFrame, spec: ExtractionSpec
       document has no units at all.
     """
     valid = ids.select("celex_id").distinct().filter(is_valid_celex(F.col("celex_id")))
-    bodies = manifestations.filter(is_valid_celex(F.col("celex_id")))
+    # a short list of ids reads, parses and tests only its own bodies and those of the original acts
+    acts = valid.select(original_celex(F.col("celex_id")).alias("celex_id"))
+    bodies = only_keys(manifestations.filter(is_valid_celex(F.col("celex_id"))), valid.unionByName(acts))
     choices = body_choices(bodies)
     main = choices.filter(F.col("role") == "main")
     own = valid.join(main.filter(F.col("own").isNotNull()).select("celex_id", "own.*"), "celex_id")
@@ -99,9 +101,8 @@ def build_text_units(
 
 
 def _units_of(manifestations: DataFrame, jobs: DataFrame) -> DataFrame:
-    bodies = by_key(manifestations.select(*BODY_KEYS, "body"), BODY_KEYS).join(
-        by_key(jobs, BODY_KEYS).hint("shuffle_hash"), BODY_KEYS
-    ).withColumn("html", flatten_wrappers(F.col("body")))
+    wanted = only_keys(manifestations.select(*BODY_KEYS, "body"), jobs.select(*BODY_KEYS))
+    bodies = by_key(wanted, BODY_KEYS).join(by_key(jobs, BODY_KEYS), BODY_KEYS).withColumn("html", flatten_wrappers(F.col("body")))
     return extract_units(bodies, BODY_KEYS, "html", partitioned=True).drop("structure", "want")
 
 
