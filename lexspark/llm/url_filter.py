@@ -209,9 +209,8 @@ def fit_filter(pages: DataFrame, rules: Rules, key: str = "page_id", max_rows: i
     def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = shared()
         for pdf in batches:
-            found = [own.match(*host_path(u)) for u in pdf["url"]]
-            keep = np.array([m is not None for m in found], bool)
-            yield pdf[keep].assign(verdict=[m[1] for m in found if m])
+            rows = [(u, h, own.match(*host_path(u))) for u, h in zip(pdf["url"], pdf["h"])]
+            yield pd.DataFrame([(u, h, m[1]) for u, h, m in rows if m], columns=["url", "h", "verdict"])
 
     rows = pages.filter(F.col("url").isNotNull()).select("url", F.xxhash64("url", F.col(key).cast("string")).alias("h"))
     labelled = rows.mapInPandas(label, "url string, h long, verdict string").orderBy("h", "url").limit(max_rows)

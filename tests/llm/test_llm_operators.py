@@ -337,7 +337,7 @@ def test_network_gradients_are_right():
 
     for w, g in zip(net.params()[1:], net.gradients(codes, first, y)[1:]):
         k = np.unravel_index(np.abs(g).argmax(), g.shape)
-        keep, step = w[k], 1e-2
+        keep, step = float(w[k]), 1e-3
         w[k] = keep + step
         up = loss()
         w[k] = keep - step
