@@ -31,28 +31,36 @@ UNITS = (
 )
 
 
-def words_of(text: Column) -> Column:
-    """Lower-case words without edge punctuation; a name or unit starts with its mark."""
-    t = F.regexp_replace(F.regexp_replace(text, "[\u0001-\u0003]", ""), r"(?<=[\p{Ll}\p{N},;] )(?=\p{Lu})", NAME)
-    t = F.regexp_replace(F.lower(t), r"(?<=[0-9] )(?=(?:" + "|".join(UNITS) + r")(?![^\x20\x09-\x0D.,;:!?]))", UNIT)
-    t = F.regexp_replace(t, r"[.,;:!?()\"'\[\]]++(?=[\x20\x09-\x0D]|$)", "")
-    return F.filter(F.split(t, WORD_GAP), lambda w: ~w.isin("", NAME, UNIT))
-
-
-def template_of(words: str) -> Column:
-    return F.transform(
-        words,
-        lambda w: F.when(w.startswith(NAME), F.lit(NAME)).when(w.startswith(UNIT), F.lit(UNIT))
-        .when(w.rlike(r"[0-9]") & ~w.rlike(r"\p{L}"), F.lit(NUMBER)).otherwise(w),
-    )
+def marked(text: Column) -> Column:
+    """Lower-case text without punctuation at word ends, a mark before each name and unit."""
+    t = F.lower(F.regexp_replace(text, r"(?<=[\p{Ll}\p{N},;] )(?=\p{Lu})", NAME))
+    units = r"(?<=[0-9] )(?=(?:" + "|".join(UNITS) + r")(?![^\x20\x09-\x0D.,;:!?]))"
+    t = F.when(text.rlike("[0-9] "), F.regexp_replace(t, units, UNIT)).otherwise(t)
+    return F.regexp_replace(t, r"[.,;:!?()\"'\[\]]++(?=[\x20\x09-\x0D]|$)", "")
+
+
+def templates(df: DataFrame, *keys: str, text: str = "text") -> DataFrame:
+    """keys, words and template of each row."""
+    words = F.filter(F.split(marked(F.col(text)), WORD_GAP), lambda w: w != "")
+    plain = lambda w: F.when(w.startswith(NAME), F.lit(NAME))
+    digits = lambda w: w.rlike("[0-9]") & ~w.rlike(r"\p{L}")
+    full = F.transform("words", lambda w: plain(w).when(w.startswith(UNIT), F.lit(UNIT)).when(digits(w), F.lit(NUMBER)).otherwise(w))
+    simple = F.transform("words", lambda w: plain(w).otherwise(w))
+    rows = df.select(*keys, words.alias("words"), F.col(text).rlike("[0-9]").alias("_digit"))
+    return rows.select(*keys, "words", F.when(F.col("_digit"), full).otherwise(simple).alias("template"))
+
+
+def window_hash(i: Column, n: int) -> Column:
+    """Hash of n words from index i of `hashes`, the words' hashes."""
+    return F.xxhash64(*[F.get("hashes", i + k) for k in range(n)])
 
 
 def windows(df: DataFrame, key: str, lengths: list[int], text: str = "text") -> DataFrame:
     """One row per window: key, words, template, size (window words), pos, h (hash of the template window)."""
-    rows = df.select(key, words_of(F.col(text)).alias("words")).withColumn("template", template_of("words"))
+    rows = templates(df, key, text=text).withColumn("hashes", F.transform("template", lambda w: F.xxhash64(w)))
 
     def of_size(n: int) -> Column:
-        one = lambda i: F.struct(F.lit(n).alias("size"), i.alias("pos"), F.xxhash64(F.slice("template", i + 1, n)).alias("h"))
+        one = lambda i: F.struct(F.lit(n).alias("size"), i.alias("pos"), window_hash(i, n).alias("h"))
         return F.when(F.size("template") >= n, F.transform(F.sequence(F.lit(0), F.size("template") - n), one)).otherwise(F.array())
 
     each = [of_size(n) for n in lengths]
@@ -62,13 +70,16 @@ def windows(df: DataFrame, key: str, lengths: list[int], text: str = "text") ->
 def item_windows(benchmark: DataFrame) -> DataFrame:
     """Counted windows of each item, with the number of them in `n_item`."""
     items = benchmark.filter(F.col("item_id").isNotNull()).groupBy("item_id").agg(F.min("text").alias("text"))
-    rows = items.select("item_id", words_of(F.col("text")).alias("words")).withColumn("template", template_of("words"))
+    rows = templates(items, "item_id").withColumn("hashes", F.transform("template", lambda w: F.xxhash64(w)))
     size = F.least(F.lit(WINDOW), F.size("words"))
     rows = rows.filter(F.size("words") > 0).withColumn("size", size)
-    rows = rows.select("item_id", "words", "template", "size", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("size"))).alias("pos"))
+    rows = rows.select("item_id", "words", "template", "hashes", "size", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("size"))).alias("pos"))
     part = F.slice("template", F.col("pos") + 1, F.col("size"))
     literal = F.size(F.filter(part, lambda w: ~w.isin(NAME, UNIT, NUMBER)))
-    rows = rows.withColumn("h", F.xxhash64(part)).withColumn("counted", 2 * literal >= F.col("size"))
+    sized = F.lit(None).cast("long")
+    for n in range(1, WINDOW + 1):
+        sized = F.when(F.col("size") == n, window_hash(F.col("pos"), n)).otherwise(sized)
+    rows = rows.withColumn("h", sized).withColumn("counted", 2 * literal >= F.col("size"))
     total = rows.groupBy("item_id").agg(F.count_if("counted").alias("good"), F.count(F.lit(1)).alias("all"))
     rows = rows.join(total, "item_id").filter(F.col("counted") | (F.col("good") == 0))
     return rows.select("item_id", F.col("words").alias("item_words"), F.col("template").alias("item_template"), "size",
