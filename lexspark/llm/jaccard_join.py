@@ -38,7 +38,7 @@ SHINGLE = 5
 EXTRA = 8  # percent
 EXTRA_AGAIN = 30
 BITS = 1024
-GROUP = 4096
+GROUP = 2048
 LEAF = 32
 FAN = 8
 PIECE = 1 << 20
@@ -249,9 +249,9 @@ def _tokens_by_bucket(sets: Iterator[tuple[list[int], list[np.ndarray]]], extra:
         yield pd.DataFrame({"bucket": [r[0] for r in rows], "tokens": [_packed(r[1]) for r in rows], "owners": [_packed(r[2]) for r in rows]})
 
 
-def _shared_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(cls, n): how many tokens of this partition's buckets a class shares with another; (cls null, token, n): tokens of
-    more than GROUP classes."""
+def _shared_counts(batches: Iterator[pd.DataFrame], buckets: int) -> Iterator[pd.DataFrame]:
+    """How many tokens of this partition's buckets a class shares with another, packed by a bucket of the classes; in
+    bucket -1 the tokens of more than GROUP classes with their numbers of classes."""
     tokens, owners = [], []
     for pdf in batches:
         tokens += [_words(x) for x in pdf["tokens"]]
@@ -272,11 +272,22 @@ def _shared_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     new = np.r_[True, (t[1:] != t[:-1]) | (o[1:] != o[:-1])]
     t, o = t[new], o[new]
     cls, n = np.unique(o, return_counts=True)
-    yield pd.DataFrame({"cls": cls.view(np.int64), "token": 0, "n": n})
+    rows = [(k, _packed(c), _packed(m)) for k, c, m in _spread(cls, n.astype(np.uint64), buckets)]
     token, df = np.unique(t, return_counts=True)
     hot = df > GROUP
     if hot.any():
-        yield pd.DataFrame({"cls": pd.array([None] * int(hot.sum()), dtype="Int64"), "token": token[hot].view(np.int64), "n": df[hot]})
+        rows.append((-1, _packed(token[hot]), _packed(df[hot])))
+    yield pd.DataFrame(rows, columns=["bucket", "tokens", "owners"])
+
+
+def _sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(cls, n): totals of the packed counts."""
+    got = [pdf for pdf in batches if len(pdf)]
+    if got:
+        cls = np.concatenate([_words(x) for pdf in got for x in pdf["tokens"]])
+        n = np.concatenate([_words(x) for pdf in got for x in pdf["owners"]])
+        names, at = np.unique(cls, return_inverse=True)
+        yield pd.DataFrame({"cls": names.view(np.int64), "n": np.bincount(at, n).astype(np.int64)})
 
 
 PACKED = "bucket int, tokens binary, owners binary"
@@ -301,10 +312,19 @@ def class_table(docs: DataFrame) -> DataFrame:
 def sharing(packs: DataFrame, classes: DataFrame, extra: int) -> tuple[DataFrame, DataFrame]:
     """Classes (cls, n, doc_id) that share enough leading tokens, and (token, n) of hot tokens."""
     buckets = _buckets(packs)
-    counts = written(packs.repartition(buckets, "bucket").mapInPandas(_shared_counts, "cls long, token long, n long"), "shared")
-    per_class = counts.filter("cls is not null").groupBy("cls").agg(F.sum("n").alias("_shared"))
+    counts = packs.repartition(buckets, "bucket").mapInPandas(lambda rows: _shared_counts(rows, 4 * buckets), PACKED)
+    counts = written(counts, "shared")
+    per_class = counts.filter("bucket >= 0").repartition(buckets, "bucket").mapInPandas(_sums, "cls long, n long")
+    per_class = per_class.withColumnRenamed("n", "_shared")
     kept = classes.join(per_class, "cls").filter(F.col("_shared") >= least_shared(F.col("n"), extra)).drop("_shared")
-    return kept, counts.filter("cls is null").select("token", "n")
+    hot = counts.filter("bucket < 0").mapInPandas(_unpacked, "token long, n long")
+    return kept, hot
+
+
+def _unpacked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for pdf in batches:
+        for token, n in zip(pdf["tokens"], pdf["owners"]):
+            yield pd.DataFrame({"token": _words(token).view(np.int64), "n": _words(n).view(np.int64)})
 
 
 def _leading_of_docs(docs: DataFrame, buckets: int) -> DataFrame:
