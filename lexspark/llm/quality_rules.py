@@ -80,8 +80,8 @@ def measure(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFra
         .withColumn("_l", lines)
         .withColumn("_s", F.array_sort(windows))
         .withColumn("_hits", hits)
-        .select(
-            key,
+        # an outer generator, because a filter on a measurement would else be pushed down and repeat them all
+        .select(key, F.inline_outer(F.array(F.struct(
             F.size("_w").cast("long").alias("n_words"),
             F.length(F.array_join("_w", "")).cast("long").alias("word_chars"),
             F.regexp_count("_t", F.lit(r"[#*$%&|<>]")).cast("long").alias("n_symbols"),
@@ -90,7 +90,7 @@ def measure(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFra
             F.size("_l").cast("long").alias("n_lines"),
             F.regexp_count("_t", F.lit(r"\p{Lu}")).cast("long").alias("n_upper"),
             F.regexp_count("_t", F.lit("!!")).cast("long").alias("n_bangs"),
-        )
+        ))))
     )
 
 
@@ -136,5 +136,5 @@ def judged(docs: DataFrame, policy: str = "v2") -> DataFrame:
 def kept_documents(docs: DataFrame, policy: str = "v2") -> DataFrame:
     """The rows of docs whose text passes. The verdict is taken beside the row, so no join is needed."""
     boxed = docs.select(F.struct(*docs.columns).alias("_row"), F.col("text"))
-    good = ledger(boxed, "text", "_row").filter(passes(policy)).select("_row")
+    good = ledger(boxed, "text", "_row").filter(passes(policy))
     return good.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
