@@ -203,7 +203,7 @@ class UrlFilter:
 
 
 def fit_filter(pages: DataFrame, rules: Rules, key: str = "page_id", max_rows: int = 20_000) -> UrlFilter:
-    """Train on urls that a rule decides. Each partition keeps its max_rows least hashes before they meet."""
+    """Train on urls that a rule decides: those with the least hashes. Only about max_rows of them reach the driver."""
     shared = broadcast_object(pages.sparkSession, rules)
 
     def label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -213,8 +213,11 @@ def fit_filter(pages: DataFrame, rules: Rules, key: str = "page_id", max_rows: i
             yield pd.DataFrame([(u, h, m[1]) for u, h, m in rows if m], columns=["url", "h", "verdict"])
 
     rows = pages.filter(F.col("url").isNotNull()).select("url", F.xxhash64("url", F.col(key).cast("string")).alias("h"))
-    labelled = rows.mapInPandas(label, "url string, h long, verdict string").orderBy("h", "url").limit(max_rows)
-    return UrlFilter.fit(rules, [(r["url"], r["verdict"]) for r in labelled.collect()])
+    labelled = rows.mapInPandas(label, "url string, h long, verdict string")
+    share = min(1.0, 1.2 * max_rows / max(1, labelled.count()))
+    near = labelled.filter(F.col("h") <= F.lit(min(2**63 - 1, int(-(2**63) + 2**64 * share)))).collect()
+    near = sorted(near, key=lambda r: (r["h"], r["url"]))[:max_rows]
+    return UrlFilter.fit(rules, [(r["url"], r["verdict"]) for r in near])
 
 
 def judge(pages: DataFrame, model: UrlFilter, key: str = "page_id") -> DataFrame:
