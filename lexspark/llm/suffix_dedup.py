@@ -233,7 +233,8 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     parts = buckets_for(spark)
     buckets = 8 * parts
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    rows = rows.select("doc_id", "text", F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64("text").alias("tag"))
+    # both joins below use these three columns, so the texts are shuffled once
+    rows = rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64("text").alias("tag"), "text")
 
     def hashes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -344,7 +345,8 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     spread = F.when(F.col("bucket") < 0, F.hash("ids")).otherwise(F.col("bucket"))
     gone = with_hashes.mapInPandas(cut, SEGMENTS).repartition(parts, spread).mapInPandas(sort, FOUND)
     gone = gone.groupBy("id", "tag").agg(F.collect_list("found").alias("found"))
-    return rows.join(gone, ["id", "tag"], "left").select("doc_id", "text", "found")
+    doc_id = F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id")
+    return rows.join(gone, ["id", "tag"], "left").select(doc_id, "text", "found")
 
 
 def kept_bytes(data: bytes, found) -> tuple[bytes, int, int]:
