@@ -312,7 +312,8 @@ def class_table(docs: DataFrame) -> DataFrame:
 def sharing(packs: DataFrame, classes: DataFrame, extra: int) -> tuple[DataFrame, DataFrame]:
     """Classes (cls, n, doc_id) that share enough leading tokens, and (token, n) of hot tokens."""
     buckets = _buckets(packs)
-    counts = packs.repartition(buckets, "bucket").mapInPandas(lambda rows: _shared_counts(rows, 4 * buckets), PACKED)
+    classes_in = max(1, buckets // 4)  # a row per task and bucket of classes: keep them few
+    counts = packs.repartition(buckets, "bucket").mapInPandas(lambda rows: _shared_counts(rows, classes_in), PACKED)
     counts = written(counts, "shared")
     per_class = counts.filter("bucket >= 0").repartition(buckets, "bucket").mapInPandas(_sums, "cls long, n long")
     per_class = per_class.withColumnRenamed("n", "_shared")
