@@ -16,6 +16,8 @@ gives an empty file; extra columns are never read.
 
 from __future__ import annotations
 
+import sys
+import types
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -104,21 +106,32 @@ class WordEncoder:
         self.specials = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.pre = regex.compile(PRE_TOKEN)
         self.letters = dict(enumerate(byte_letters()))
-        self.words = Pool()
+        self.words, self.whole = Pool(), set()
 
     def cut(self, text: str) -> list[str]:
-        return [text] if any(s in text for s in self.specials) else self.pre.findall(text)
+        if any(s in text for s in self.specials):
+            self.whole.add(text)
+            return [text]
+        return self.pre.findall(text)
 
     def ids_of(self, word: str) -> list[int]:
-        if any(s in word for s in self.specials):
+        if word in self.whole:
             return self.tokenizer.encode(word, add_special_tokens=False).ids
         return [t.id for t in self.tokenizer.model.tokenize(word.encode("utf-8").decode("latin-1").translate(self.letters))]
 
+    @classmethod
+    def of_worker(cls, path: str) -> WordEncoder:
+        """The encoder that this Python worker keeps from task to task. It only saves time: a new worker starts anew."""
+        kept = sys.modules.setdefault("_llm_worker_memo", types.ModuleType("_llm_worker_memo")).__dict__
+        if path not in kept:
+            kept[path] = cls(path)
+        return kept[path]
+
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and the number of each text."""
         cut = [self.cut(t) for t in texts]
         if len(self.words.names) > MEMO:
-            self.words = Pool()
+            self.words, self.whole = Pool(), {t for c in cut for t in c if len(c) == 1 and t in self.whole}
         new = list(set().union(*cut) - self.words.names.keys()) if cut else []
         if new:
             found = list(map(self.ids_of, new))
@@ -133,7 +146,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, path: str, end_id: int = 0, b
     """Write the files below path: `chunks` and `index`."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, shard, chunk = WordEncoder(vocabulary), TaskContext.get().partitionId(), 0
+        encoder, shard, chunk = WordEncoder.of_worker(vocabulary), TaskContext.get().partitionId(), 0
         for pdf in batches:
             texts, keys = pdf["text"].tolist(), pdf["doc_id"].astype("Int64")
             for a, b in slices([len(t) for t in texts], BATCH_CHARS):
