@@ -333,6 +333,8 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             size, number, ids, tags, starts = (np.frombuffer(b"".join(getattr(r, c) for r in got), np.int64) for c in ("sizes", "numbers", "ids", "tags", "starts"))
             origin = np.cumsum(size) - size
             order = np.lexsort((starts, tags, ids))
+            new = np.r_[True, np.any([np.diff(x[order]) != 0 for x in (ids, tags, starts)], axis=0)]
+            order = order[new]  # equal rows of several batches or tasks send equal segments
             size, number, ids, tags, starts, origin = (x[order] for x in (size, number, ids, tags, starts, origin))
             begin = np.cumsum(size + 1) - size - 1
             text = np.zeros(int((size + 1).sum()), np.uint8)

@@ -104,6 +104,19 @@ def test_suffix_dedup_of_repeated_rows_and_ids(spark):
     assert {bytes(r["kept"]) for r in suffix_dedup.deduplicated(rows).collect()} == {t.encode(), b"", b"short"}
 
 
+@pytest.mark.parametrize("batch", [1, 10000])
+def test_suffix_dedup_keeps_equal_rows_of_several_batches_and_tasks(spark, batch):
+    text = prose(random.Random(8), 80)
+    rows = spark.createDataFrame(spark.sparkContext.parallelize([(1, text)] * 6, 3), "doc_id long, text string")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(batch))
+    try:
+        got = suffix_dedup.removal_report(rows).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert [r["n_removed"] for r in got] == [0] * 6
+
+
 # token counts and files
 
 
