@@ -12,7 +12,10 @@ one before. Strings are judged on the input. Two equal strings have the same lea
 3. Covering. Repeated starts become byte ranges of their document; each text is cut by the union of its ranges.
 
 Hot strings: a task sends each distinct segment once (the first; later ones in the task are repeats already), so a passage
-that a third of all documents hold reaches its bucket once per task, not once per document.
+that a third of all documents hold reaches its bucket once per task, not once per document. Where the neighbours of a hot
+line differ, so do the segments: a hash with more than HOT bytes of distinct segments (the driver gets these hashes, at most
+one per HOT bytes of text) has no bucket. Each of its strings goes by its own 128-bit digest, once per 4 MB of texts, and
+equal digests are equal strings.
 
 Defined cases: null and empty texts have no bytes; texts shorter than `length` lose nothing; rows with the same id are
 ordered by a hash of their text, and equal rows count as one occurrence, so they do not remove each other; a null id comes
@@ -29,12 +32,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexspark.llm.common import buckets_for, mix64, ragged, slices, texts_as_bytes
+from lexspark.llm.common import broadcast_object, buckets_for, mix64, ragged, slices, texts_as_bytes, written
 
 LENGTH = 100
 GRAM = 32
 PIECE = 1 << 20
 NO_ID = -(2**63)
+UNIT = 128
+HOT = 1 << 22  # at most UNIT * 32767
 _LETTERS = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9FB21C651E98DF25))
 _FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 
@@ -69,8 +74,9 @@ def own_repeats(grams: np.ndarray, least: np.ndarray, width: int) -> np.ndarray:
 
 
 def segments(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, ...]:
-    """(text, start, number of string starts, hash, may repeat itself) of each run of starts with one least gram."""
-    out = [[], [], [], [], []]
+    """(text, start, number of string starts, hash, may repeat itself, key of its bytes) of each run of starts with one least
+    gram."""
+    out = [[], [], [], [], [], []]
     width = length - GRAM + 1
     for a, b in slices([len(t) for t in texts], PIECE):
         lens = np.fromiter(map(len, texts[a:b]), np.int64, b - a)
@@ -92,7 +98,9 @@ def segments(texts: list[bytes], length: int = LENGTH) -> tuple[np.ndarray, ...]
         out[2].append(np.diff(np.r_[first, len(at)]))
         out[3].append(h[first])
         out[4].append((out[2][-1] > width) | np.isin(h[first], own_repeats(grams, least, width)))
-    kinds = (np.int64, np.int64, np.int64, np.uint64, bool)
+        total = np.r_[np.zeros(1, np.uint64), np.cumsum(grams)]
+        out[5].append(total[at[first] + out[2][-1] + width - 1] - total[at[first]])
+    kinds = (np.int64, np.int64, np.int64, np.uint64, bool, np.uint64)
     return tuple(np.concatenate(x) if x else np.zeros(0, k) for x, k in zip(out, kinds))
 
 
@@ -201,6 +209,12 @@ def runs_of(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edge[::2], edge[1::2]
 
 
+def joined_starts(starts: np.ndarray, owners: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(owner, first start, number) of each run of consecutive starts of one owner."""
+    head = np.flatnonzero(np.r_[True, (owners[1:] != owners[:-1]) | (starts[1:] != starts[:-1] + 1)])
+    return owners[head], starts[head], np.diff(np.r_[head, len(starts)])
+
+
 def _by_bucket(h: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
     bucket = (h % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
@@ -218,9 +232,10 @@ def _per_document(ids: np.ndarray, tags: np.ndarray, values: np.ndarray) -> pd.D
     return pd.DataFrame({"id": ids[edge], "tag": tags[edge], "found": [np.ascontiguousarray(values[s:e]).tobytes() for s, e in zip(edge, stop)]})
 
 
-HASHES = "bucket int, hashes binary, ids binary, tags binary, known binary"
+HASHES = "bucket int, hashes binary, ids binary, tags binary, known binary"  # known: 32768 if so, and UNITs of distinct bytes
 FOUND = "id long, tag long, found binary"
-SEGMENTS = "bucket int, text binary, sizes binary, numbers binary, ids binary, tags binary, starts binary, done boolean"
+SEGMENTS = "bucket int, text binary, sizes binary, numbers binary, ids binary, tags binary, starts binary, kind int"
+PIECES, DONE, STRINGS = 0, 1, 2  # kinds of SEGMENTS rows
 
 
 def _pack(x: np.ndarray, kind=np.int64) -> bytes:
@@ -232,6 +247,7 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     spark = docs.sparkSession
     parts = buckets_for(spark)
     buckets = 8 * parts
+    hot_units = -(-HOT // UNIT)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     # both joins below use these three columns, so the texts are shuffled once
     rows = rows.select(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64("text").alias("tag"), "text")
@@ -240,12 +256,14 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         for pdf in batches:
             texts, ids, tags = texts_as_bytes(pdf["text"]), pdf["id"].to_numpy(np.int64), pdf["tag"].to_numpy(np.int64)
             for a, b in slices([len(t) for t in texts], 4 * PIECE):
-                owner, _, _, h, own = segments(texts[a:b], length)
+                owner, _, number, h, own, key = segments(texts[a:b], length)
                 if not len(h):
                     continue
-                order = np.argsort(h, kind="stable")
-                h, owner, own = h[order], owner[order] + a, own[order]
+                order = np.lexsort((key, h))
+                h, owner, own, key, number = h[order], owner[order] + a, own[order], key[order], number[order]
                 head = np.flatnonzero(np.r_[True, h[1:] != h[:-1]])
+                other = np.r_[True, (h[1:] != h[:-1]) | (key[1:] != key[:-1])]
+                units = -(-np.add.reduceat(np.where(other, number + length - 1, 0), head) // UNIT)
                 many = (np.diff(np.r_[head, len(h)]) > 1) | np.logical_or.reduceat(own, head)
                 # hashes that repeat here are known; one entry of each tells the others
                 again = np.repeat(many, np.diff(np.r_[head, len(h)]))
@@ -255,7 +273,8 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                                                             tags=lambda d: [_pack(x) for x in d["tag"].to_numpy()[:, None]], known=b"")[
                         ["bucket", "hashes", "ids", "tags", "known"]]
                 h1, o1 = h[head], owner[head]
-                out = [(k, _pack(h1[w], np.uint64), _pack(ids[o1[w]]), _pack(tags[o1[w]]), many[w].tobytes()) for k, w in _by_bucket(h1, buckets)]
+                known = (np.minimum(units, 32767) + 32768 * many).astype(np.uint16)
+                out = [(k, _pack(h1[w], np.uint64), _pack(ids[o1[w]]), _pack(tags[o1[w]]), known[w].tobytes()) for k, w in _by_bucket(h1, buckets)]
                 yield pd.DataFrame(out, columns=["bucket", "hashes", "ids", "tags", "known"])
 
     def meet(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -269,30 +288,61 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             return
         h = np.frombuffer(b"".join(r.hashes for r in got), np.uint64)
         ids, tags = np.frombuffer(b"".join(r.ids for r in got), np.int64), np.frombuffer(b"".join(r.tags for r in got), np.int64)
-        known = np.frombuffer(b"".join(r.known for r in got), bool)
+        known = np.frombuffer(b"".join(r.known for r in got), np.uint16)
+        units, known = (known & 32767).astype(np.int64), known >= 32768
         order = np.argsort(h, kind="stable")
         head = np.flatnonzero(np.r_[True, h[order][1:] != h[order][:-1]])
         count = np.diff(np.r_[head, len(h)])
         keep = order[np.repeat((count > 1) | np.logical_or.reduceat(known[order], head), count)]
         keep = keep[~known[keep]]
+        hot = h[order[head[np.add.reduceat(units[order], head) >= hot_units]]]
+        if len(hot):
+            yield pd.DataFrame({"id": hot.view(np.int64), "tag": 0, "found": None})
         if len(keep):
             yield _per_document(ids[keep], tags[keep], h[keep])
 
     spread = F.when(F.col("bucket") < 0, F.hash("ids")).otherwise(F.col("bucket"))
     repeated = rows.select("id", "tag", "text").mapInPandas(hashes, HASHES).repartition(parts, spread).mapInPandas(meet, FOUND)
-    listed = repeated.groupBy("id", "tag").agg(F.collect_list("found").alias("lists"))  # bounded by the text
+    repeated = written(repeated, "repeated")
+    hot_hashes = np.array(sorted(r["id"] for r in repeated.filter("found is null").select("id").collect()), np.int64).view(np.uint64)
+    shared_hot = broadcast_object(spark, hot_hashes)
+    listed = repeated.filter("found is not null").groupBy("id", "tag").agg(F.collect_list("found").alias("lists"))  # bounded by the text
     with_hashes = rows.join(listed, ["id", "tag"]).select("id", "tag", "text", "lists")
 
+    columns = ["bucket", "text", "sizes", "numbers", "ids", "tags", "starts", "kind"]
+
+    def strings(texts, ids, tags, owner, start, number) -> Iterator[pd.DataFrame]:
+        """The strings of hot segments by digest: the first of each, and where the others stand."""
+        at, who = ragged(start, number), np.repeat(owner, number)
+        digests = [hashlib.blake2b(texts[o][s:s + length], digest_size=16).digest() for o, s in zip(who.tolist(), at.tolist())]
+        place: dict[bytes, int] = {}
+        first = np.fromiter((place.setdefault(d, i) == i for i, d in enumerate(digests)), bool, len(digests))
+        dup, one = np.flatnonzero(~first), np.flatnonzero(first)
+        rows = []
+        if len(dup):
+            o, s, n = joined_starts(at[dup], who[dup])
+            rows.append((-1, b"", b"", _pack(n), _pack(ids[o]), _pack(tags[o]), _pack(s), DONE))
+        words = np.frombuffer(b"".join(digests), np.uint64)[::2]
+        for k, w in _by_bucket(words[one], parts):
+            w = one[w]
+            rows.append((k, b"".join(digests[i] for i in w), b"", b"", _pack(ids[who[w]]), _pack(tags[who[w]]), _pack(at[w]), STRINGS))
+        yield pd.DataFrame(rows, columns=columns)
+
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hot = shared_hot()
         for pdf in batches:
             pdf = pdf.drop_duplicates(["id", "tag"]).sort_values(["id", "tag"])
             texts, ids, tags = texts_as_bytes(pdf["text"]), pdf["id"].to_numpy(np.int64), pdf["tag"].to_numpy(np.int64)
             wanted = [np.unique(np.frombuffer(b"".join(x), np.uint64)) for x in pdf["lists"]]
             for a, b in slices([len(t) for t in texts], 4 * PIECE):
-                owner, start, number, h, _ = segments(texts[a:b], length)
+                owner, start, number, h, _, _ = segments(texts[a:b], length)
                 edge = np.searchsorted(owner, np.arange(b - a + 1))
                 keep = np.concatenate([np.isin(h[edge[i]:edge[i + 1]], wanted[a + i]) for i in range(b - a)] or [np.zeros(0, bool)])
                 owner, start, number, h = owner[keep] + a, start[keep], number[keep], h[keep]
+                often = np.isin(h, hot)
+                if often.any():
+                    yield from strings(texts, ids, tags, owner[often], start[often], number[often])
+                    owner, start, number, h = owner[~often], start[~often], number[~often], h[~often]
                 seen: dict[bytes, bool] = {}
                 first = np.ones(len(owner), bool)
                 pieces = []
@@ -305,28 +355,43 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                     pieces.append(x)
                 dup = np.flatnonzero(~first)
                 if len(dup):  # the same bytes stand earlier in this very batch
-                    yield pd.DataFrame([(-1, b"", b"", _pack(number[dup]), _pack(ids[owner[dup]]), _pack(tags[owner[dup]]), _pack(start[dup]), True)],
-                                       columns=["bucket", "text", "sizes", "numbers", "ids", "tags", "starts", "done"])
+                    yield pd.DataFrame([(-1, b"", b"", _pack(number[dup]), _pack(ids[owner[dup]]), _pack(tags[owner[dup]]), _pack(start[dup]), DONE)],
+                                       columns=columns)
                 one = np.flatnonzero(first)
                 out = []
                 for k, w in _by_bucket(h[one], buckets):
                     w = one[w]
                     out.append((k, b"".join(pieces[i] for i in w), _pack([len(pieces[i]) for i in w]), _pack(number[w]),
-                                _pack(ids[owner[w]]), _pack(tags[owner[w]]), _pack(start[w]), False))
-                yield pd.DataFrame(out, columns=["bucket", "text", "sizes", "numbers", "ids", "tags", "starts", "done"])
+                                _pack(ids[owner[w]]), _pack(tags[owner[w]]), _pack(start[w]), PIECES))
+                yield pd.DataFrame(out, columns=columns)
 
     def ranges(ids, tags, starts, ends) -> pd.DataFrame:
         return _per_document(ids, tags, np.column_stack([starts, ends]).astype(np.int64))
 
     def sort(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[int, list] = {}
+        hot = []
         for pdf in batches:
             for r in pdf.itertuples(index=False):
-                if r.done:
+                if r.kind == DONE:
                     ids, tags, starts, numbers = (np.frombuffer(x, np.int64) for x in (r.ids, r.tags, r.starts, r.numbers))
                     yield ranges(ids, tags, starts, starts + numbers - 1 + length)
+                elif r.kind == STRINGS:
+                    hot.append(r)
                 else:
                     held.setdefault(r.bucket, []).append(r)
+        if hot:
+            ids, tags, starts = (np.frombuffer(b"".join(getattr(r, c) for r in hot), np.int64) for c in ("ids", "tags", "starts"))
+            low, high = np.frombuffer(b"".join(r.text for r in hot), np.uint64).reshape(-1, 2).T
+            hot = []
+            order = np.lexsort((starts, tags, ids, high, low))
+            ids, tags, starts, low, high = (x[order] for x in (ids, tags, starts, low, high))
+            head = np.flatnonzero(np.r_[True, (low[1:] != low[:-1]) | (high[1:] != high[:-1])])
+            size = np.diff(np.r_[head, len(low)])
+            # equal rows send equal strings, so the first may stand there again
+            late = np.any([x != np.repeat(x[head], size) for x in (ids, tags, starts)], axis=0)
+            if late.any():
+                yield ranges(ids[late], tags[late], starts[late], starts[late] + length)
         for bucket in list(held):
             got = held.pop(bucket)
             raw = np.frombuffer(b"".join(r.text for r in got), np.uint8)

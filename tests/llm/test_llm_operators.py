@@ -117,6 +117,31 @@ def test_suffix_dedup_keeps_equal_rows_of_several_batches_and_tasks(spark, batch
     assert [r["n_removed"] for r in got] == [0] * 6
 
 
+def test_suffix_dedup_of_a_hot_line_with_other_neighbours(spark, monkeypatch):
+    r = random.Random(6)
+    line, passage = prose(r, 12)[:53], prose(r, 40)
+    texts = [prose(r, 15) + line + prose(r, 15) for _ in range(60)] + [prose(r, 9) + line + passage + line + prose(r, 3) for _ in range(9)]
+    texts += corpus()[:40] + ["x" * 700]
+    rows = spark.createDataFrame([(i, t) for i, t in enumerate(texts)] + [(61, texts[61])], "doc_id long, text string").repartition(3)
+    sent, plain = [], type(rows).mapInPandas
+
+    def spy(self, run, schema, *more, **named):
+        out = plain(self, run, schema, *more, **named)
+        sent.extend([out] * (schema == suffix_dedup.SEGMENTS))
+        return out
+
+    monkeypatch.setattr(type(rows), "mapInPandas", spy)
+    monkeypatch.setattr(suffix_dedup, "HOT", 1024, raising=False)
+    got = {r[0]: tuple(r)[1:] for r in suffix_dedup.removal_report(rows).collect()}
+    assert got == dict(enumerate(brute_removed(texts)))
+    in_bucket = Counter()
+    for r in sent[0].filter("bucket >= 0 and length(sizes) > 0").collect():
+        size = np.frombuffer(r["sizes"], np.int64)
+        for a, n in zip(np.cumsum(size) - size, size):
+            in_bucket[int(suffix_dedup.segments([bytes(r["text"][a:a + n])])[3][0])] += int(n)
+    assert in_bucket and max(in_bucket.values()) <= 1024
+
+
 # token counts and files
 
 
