@@ -352,7 +352,8 @@ def _leading_of_sets(sets: DataFrame, extra: int, buckets: int) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(cls, n, hashes) of the wanted classes, read from the text of each class's least document."""
+    """(cls, n, hashes) of the wanted classes, read from the text of each class's least document, or of any if none has an
+    id."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         shingler, done = Shingler(), set()
@@ -364,8 +365,23 @@ def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     rows.append((cls, len(s), _packed(s)))
             yield pd.DataFrame(rows, columns=["cls", "n", "hashes"])
 
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted.select("doc_id", "cls"), "doc_id")
-    return keyed.mapInPandas(run, "cls long, n long, hashes binary")
+    def own_sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shingler, done = Shingler(), set()
+        for pdf in batches:
+            rows = []
+            for s in shingler.sets(texts_as_bytes(pdf["text"])):
+                if len(s) and (cls := class_of(s)) not in done:
+                    done.add(cls)
+                    rows.append((cls, len(s), _packed(s)))
+            yield pd.DataFrame(rows, columns=["cls", "n", "hashes"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    wanted = wanted.select(F.col("doc_id").alias("_least"), "cls")
+    keyed = texts.filter("doc_id is not null").join(wanted.filter("_least is not null"), F.col("doc_id") == F.col("_least"))
+    # a class without any id is known by its text only; its rows are not joined, so that null is no hot key
+    alone = wanted.filter("_least is null").select("cls")
+    nameless = texts.filter("doc_id is null").mapInPandas(own_sets, "cls long, n long, hashes binary").join(alone, "cls", "left_semi")
+    return keyed.select("text", "cls").mapInPandas(run, "cls long, n long, hashes binary").unionByName(nameless.dropDuplicates(["cls"]))
 
 
 def _cells(k: np.ndarray, part: np.ndarray) -> list[list[int]]:

@@ -211,6 +211,16 @@ def test_jaccard_join_equals_brute_force(spark, monkeypatch, group):
     assert got == brute_components(texts)
 
 
+def test_jaccard_join_links_through_a_row_without_id(spark):
+    w = prose(random.Random(21), 200).split()
+    end = lambda n: " ".join(w[:200 - n] + ["zz%d" % i for i in range(n)])
+    left, middle, right = " ".join(w[:150]), " ".join(w[:170]), " ".join(w[:195])
+    alone = end(60)
+    rows = spark.createDataFrame([(1, left), (None, middle), (None, middle), (2, right), (3, alone)], "doc_id long, text string")
+    got = Counter((r["doc_id"], r["component_id"]) for r in jaccard_join.near_duplicates(rows).collect())
+    assert got == Counter({(1, 1): 1, (2, 1): 1, (None, 1): 2, (3, 3): 1})
+
+
 def test_one_of_each_keeps_columns_and_rows_without_id(spark):
     t = prose(random.Random(4), 40)
     docs = table(spark, [t, t, "other words here", None])
