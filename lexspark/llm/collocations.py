@@ -43,7 +43,7 @@ TOP = 2000
 DEPTH = 2 * TOP
 SWALLOW = 80  # percent
 SCALE = 2_000_000
-PIECE = 4 << 20  # bytes of text worked on at once
+PIECE = 1 << 20  # bytes of text worked on at once
 TABLE_BITS = 1 << 25
 SLOTS = 32
 PROBES = 4
@@ -56,11 +56,12 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 class Piece:
     """Words of some texts of one language as codes; 0 stands between pieces."""
 
-    def __init__(self, lang: str, texts: list[bytes]) -> None:
+    def __init__(self, lang: str, texts: list[bytes | pa.Buffer]) -> None:
         data = b".".join(texts).lower().translate(_STOPS).replace(b".", b" . ")  # bytes: only A-Z are lower-cased
-        known = {b".": 0}
-        self.codes = np.array([0, *(known.setdefault(w, len(known)) for w in data.split()), 0], np.int64)
-        self.words = list(known)
+        words = [b".", *data.split(), b"."]
+        self.words = list(dict.fromkeys(words))
+        known = dict(zip(self.words, range(len(self.words))))
+        self.codes = np.fromiter(map(known.__getitem__, words), np.int64, len(words))
         self.lang = lang
 
     def hashes(self, k: int) -> np.ndarray:
@@ -80,15 +81,20 @@ class Piece:
 
     def counted(self, k: int, at: np.ndarray) -> pa.RecordBatch:
         """The distinct phrases of k words that begin at the places, with their counts."""
-        ids = self.codes[at]
-        for i in range(1, k):
-            ids = ids * len(self.words) + self.codes[at + i]
-            ids = np.unique(ids, return_inverse=True)[1] if i + 1 < k else ids
-        _, first, n = np.unique(ids, return_index=True, return_counts=True)
+        size, spots = len(self.words), [self.codes[at + i] for i in range(k)]
+        if size**k < 1 << 63:
+            ids = spots[0]
+            for more in spots[1:]:
+                ids = ids * size + more
+            ids, n = np.unique(ids, return_counts=True)
+            spots = [ids // size**(k - 1 - i) % size for i in range(k)]
+        else:
+            rows, n = np.unique(np.stack(spots, axis=1), axis=0, return_counts=True)
+            spots = list(rows.T)
         words = pa.array(self.words, pa.binary()).cast(pa.string())
-        parts = [words.take(pa.array(self.codes[at[first] + i])) for i in range(k)]
+        parts = [words.take(pa.array(spot)) for spot in spots]
         phrase = parts[0] if k == 1 else pc.binary_join_element_wise(*parts, " ")
-        m = len(first)
+        m = len(n)
         return pa.RecordBatch.from_arrays(
             [pa.array([self.lang] * m, pa.string()), pa.array(np.full(m, k, np.int32)), phrase, pa.array(n.astype(np.int64))],
             names=["lang", "k", "phrase", "f"])
@@ -108,10 +114,10 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
 
 def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[Piece]:
     for batch in batches:
-        by_lang: dict[str, list[bytes]] = {}
+        by_lang: dict[str, list[pa.Buffer]] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
             if text.is_valid:
-                by_lang.setdefault(lang, []).append(text.as_buffer().to_pybytes())
+                by_lang.setdefault(lang, []).append(text.as_buffer())
         for lang, texts in by_lang.items():
             for a, b in slices([len(t) for t in texts], PIECE):
                 yield Piece(lang, texts[a:b])

@@ -25,8 +25,8 @@ cuts AS (SELECT lang, k, phrase, a, ws, unnest(range(1, k)) AS cut FROM cand),
 scored AS (
   SELECT c.*, x.f AS l, y.f AS r, CAST((2000000::HUGEINT * a) // (x.f + y.f) AS BIGINT) AS score
   FROM cuts c
-  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(ws[1:cut], ' ')
-  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(ws[cut + 1:k], ' ')
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.ws[1:c.cut], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.ws[c.cut + 1:c.k], ' ')
 ),
 best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
 inner_part AS (

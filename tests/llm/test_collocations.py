@@ -114,3 +114,12 @@ def test_tables_hold_their_members(spark):
     held = right.holds(piece.hashes(2)[at])
     assert held[::2].all() and held[1::2].sum() < 5
     assert left.holds(col.Piece("fr", [b"x y z"]).hashes(3)[1:2]).all()
+
+
+def test_phrases_count_alike_in_a_wide_vocabulary():
+    text = " ".join(f"w{i % 70000}" for i in range(70010)).encode()
+    piece = col.Piece("en", [text])
+    at = np.flatnonzero(piece.whole(4))
+    got = piece.counted(4, at)
+    assert len(piece.words)**4 >= 1 << 63
+    assert sorted(got["f"].to_pylist())[-8:] == [1, 2, 2, 2, 2, 2, 2, 2] and sum(got["f"].to_pylist()) == len(at)
