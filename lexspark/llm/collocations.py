@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from lexspark.llm.common import broadcast_object, mix64, slices, written
+from lexspark.llm.common import broadcast_object, mix64, small_batches, written
 
 LEAST = 30
 LONGEST = 4
@@ -43,7 +43,7 @@ TOP = 2000
 DEPTH = 2 * TOP
 SWALLOW = 80  # percent
 SCALE = 2_000_000
-PIECE = 1 << 20  # bytes of text worked on at once
+PIECE = 4 << 20  # bytes of text held at once
 TABLE_BITS = 1 << 25
 SLOTS = 32
 PROBES = 4
@@ -113,14 +113,16 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
 
 
 def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[Piece]:
+    held: dict[str, list[pa.Buffer]] = {}
+    size = 0
     for batch in batches:
-        by_lang: dict[str, list[pa.Buffer]] = {}
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            if text.is_valid:
-                by_lang.setdefault(lang, []).append(text.as_buffer())
-        for lang, texts in by_lang.items():
-            for a, b in slices([len(t) for t in texts], PIECE):
-                yield Piece(lang, texts[a:b])
+            held.setdefault(lang, []).append(text.as_buffer())
+            size += len(text.as_buffer())
+            if size >= PIECE:
+                yield from (Piece(lang, texts) for lang, texts in held.items())
+                held, size = {}, 0
+    yield from (Piece(lang, texts) for lang, texts in held.items())
 
 
 def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,7 +201,8 @@ def bit_tables(grow: DataFrame) -> tuple[Table, Table]:
 
 
 def grown_counts(texts: DataFrame, grow: DataFrame, sizes: tuple[int, ...]) -> DataFrame:
-    """Counts of all phrases of size + 1 words that grow from the phrases of `grow`; of others perhaps, but never in part."""
+    """Counts, from LEAST on, of all phrases of size + 1 words that grow from the phrases of `grow`; of others perhaps, but
+    never in part."""
     sent = broadcast_object(texts.sparkSession, bit_tables(grow))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -214,7 +217,9 @@ def grown_counts(texts: DataFrame, grow: DataFrame, sizes: tuple[int, ...]) -> D
                 if len(at):
                     yield piece.counted(k + 1, at)
 
-    return _totals(texts.mapInArrow(scan, COUNTS))
+    found = _totals(texts.mapInArrow(scan, COUNTS)).filter(F.col("f") >= LEAST)
+    with small_batches(texts.sparkSession):
+        return written(found, "grown")
 
 
 def _totals(counts: DataFrame) -> DataFrame:
@@ -275,7 +280,9 @@ def ranked(found: DataFrame) -> DataFrame:
 def collocations(docs: DataFrame) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the first TOP survivors of each language."""
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), "text").filter("text is not null")
-    few = written(_totals(texts.mapInArrow(_few, COUNTS)).filter((F.col("k") == 1) | (F.col("f") >= LEAST)), "few")
+    few = _totals(texts.mapInArrow(_few, COUNTS)).filter((F.col("k") == 1) | (F.col("f") >= LEAST))
+    with small_batches(docs.sparkSession):
+        few = written(few, "few")
     totals = few.filter("k = 1").groupBy("lang").agg(F.sum("f").alias("n"))
     few = few.filter(F.col("f") >= LEAST)
     pairs = written(valued(few.filter("k = 2"), few), "pairs")
@@ -304,12 +311,12 @@ def _settled(texts: DataFrame, few: DataFrame, pairs: DataFrame, lines: DataFram
         right = at.filter("bound >= line").select(F.lit(RIGHT).alias("side"), "lang", "phrase")
         return right.unionByName(at.filter("score >= line").select(F.lit(LEFT).alias("side"), "lang", "phrase"))
 
-    threes = written(grown_counts(texts, to_grow(pairs), (2,)).filter(F.col("f") >= LEAST), "threes")
+    threes = grown_counts(texts, to_grow(pairs), (2,))
     threes_valued = written(valued(threes, few.unionByName(threes)), "threes-valued")
     grow = to_grow(threes_valued)
     # the last three words of what grows from three are counted with all that begins with their first two
     ends = grow.filter(F.col("side") == RIGHT).select("side", "lang", F.expr("substring_index(phrase, ' ', -2)").alias("phrase")).distinct()
-    more = written(grown_counts(texts, grow.unionByName(ends), (2, 3)).filter(F.col("f") >= LEAST), "more")
+    more = grown_counts(texts, grow.unionByName(ends), (2, 3))
     fours = more.filter("k = 4")
     all_threes = threes.unionByName(more.filter("k = 3")).dropDuplicates(["lang", "phrase"])
     fours_valued = valued(fours, few.unionByName(all_threes))

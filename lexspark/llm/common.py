@@ -7,6 +7,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 from pyspark import cloudpickle
@@ -39,6 +40,18 @@ def written(df: DataFrame, name: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Python workers get this many rows at once in the jobs run inside; long texts then need less memory on both sides."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def broadcast_object(spark: SparkSession, value: object) -> Callable[[], object]:
     """Send an object of bounded size to the workers; call the result there to get it."""
     sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
