@@ -22,5 +22,6 @@ def query(name: str, sql: str | None = None):
 
 def load() -> None:
     from lexspark.llm import (  # noqa: F401
-        q_classifier, q_collocations, q_decontamination, q_jaccard, q_language, q_mixing, q_quality, q_spelling, q_suffix, q_tokens, q_urls,
+        q_classifier, q_collocations, q_decontamination, q_jaccard, q_language, q_minhash, q_mixing, q_quality, q_spelling,
+        q_suffix, q_tokens, q_urls,
     )
