@@ -51,15 +51,22 @@ def select_annex(items: DataFrame, key: str) -> DataFrame:
     return select_manifestation(items, key, ANNEX_INCLUDE, ANNEX_EXCLUDE)
 
 
+def body_mark(body: Column) -> Column:
+    """Of several bodies of one (id, role, format) the usable one with the least mark counts."""
+    return F.xxhash64(body)
+
+
 def inspect_bodies(manifestations: DataFrame) -> DataFrame:
     """Narrow facts about every body, computed inside the row: is it well-formed,
-    which page structure does it have. The body itself is left behind. Missing
-    bodies have no row; plain HTML always counts as readable."""
+    which page structure does it have, and a mark that tells bodies of one key
+    apart. The body itself is left behind. Missing bodies have no row; plain
+    HTML always counts as readable."""
     facts = lambda body: F.when(
         ~is_missing(body),
         F.array(F.struct(
             F.when(F.col("fmt") == "xhtml", parses(body)).otherwise(True).alias("ok"),
             structure_of(flatten_wrappers(body)).alias("structure"),
+            body_mark(body).alias("mark"),
         )),
     )
     # inline, not a filter: a filter would compute the facts a second time
@@ -76,17 +83,20 @@ def body_choices(manifestations: DataFrame) -> DataFrame:
     * ``lent``: the body another document borrows. It differs in one case: a
       well-formed XHTML without known structure stays chosen when there is no
       plain HTML, and then gives no units.
+
+    Both carry the ``mark`` of the body.
     """
     plain = F.col("fmt") == "html"
     known = F.col("ok") & F.col("structure").isNotNull()
-    pair = F.struct("fmt", "structure")
+    pair = F.struct("fmt", "structure", "mark")
     own_rank = F.when(~plain & known, 0).when(plain, 1)
     lent_rank = F.when(~plain & known, 0).when(plain, 1).when(F.col("ok"), 2)
+    first = lambda rank: F.min_by(pair, F.when(rank.isNotNull(), F.struct(rank.alias("rank"), "mark")))
     return inspect_bodies(manifestations).groupBy("celex_id", "role").agg(
-        F.min_by(pair, own_rank).alias("own"), F.min_by(pair, lent_rank).alias("lent")
+        first(own_rank).alias("own"), first(lent_rank).alias("lent")
     )
 
 
 def choose_body(manifestations: DataFrame) -> DataFrame:
     """One body per (id, role): rows celex_id, role, fmt, structure."""
-    return body_choices(manifestations).filter(F.col("own").isNotNull()).select("celex_id", "role", "own.*")
+    return body_choices(manifestations).filter(F.col("own").isNotNull()).select("celex_id", "role", "own.fmt", "own.structure")

@@ -103,16 +103,19 @@ def with_original(df: DataFrame, other: DataFrame, key: str = "celex_id") -> Dat
     return df.withColumn("original_id", original_celex(F.col(key))).join(right, "original_id", "left")
 
 
-def relations_with_original(
-    relations: DataFrame, works: DataFrame, only_added: bool = False
-) -> DataFrame:
-    """The relations of the original act added once for every consolidated
-    text. The added rows keep the original's id as source; duplicates stay."""
+def original_relations(relations: DataFrame, works: DataFrame) -> DataFrame:
+    """The relations of the original act once for every consolidated text, named
+    by ``_version``. The rows keep the original's id as source."""
     versions = works.filter(is_consolidated(F.col("celex_id"))).select(
         original_celex(F.col("celex_id")).alias("celex_source"), F.col("celex_id").alias("_version")
     )
-    added = salted_join(versions, relations, "celex_source", ["_version"]).select(*relations.columns)
-    return added if only_added else relations.unionByName(added)
+    return salted_join(versions, relations, "celex_source", ["_version"]).select(*relations.columns, "_version")
+
+
+def relations_with_original(relations: DataFrame, works: DataFrame) -> DataFrame:
+    """The relations and those of the original acts added once for every
+    consolidated text; duplicates stay."""
+    return relations.unionByName(original_relations(relations, works).drop("_version"))
 
 
 def with_acts(proposals: DataFrame, adopts: DataFrame) -> DataFrame:

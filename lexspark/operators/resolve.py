@@ -11,7 +11,8 @@ from lexspark.functions.markup import flatten_wrappers, is_missing, parses
 from lexspark.functions.text import date_from_title, first_nonempty, normalize_text
 from lexspark.model import LANGUAGE
 from lexspark.operators.graph import with_original
-from lexspark.operators.scale import by_key, only_keys
+from lexspark.operators.choose import body_mark
+from lexspark.operators.scale import by_key, materialize, may_have_key
 from lexspark.operators.sequence import join_ordered
 from lexspark.operators.tokens import html_tokens, inside_first, with_levels
 
@@ -20,18 +21,19 @@ UNAVAILABLE = "[Unavailable]"
 
 def html_titles(manifestations: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """Text of the first main-title div of the XHTML body, for the wanted ids
-    only: the page is cut into tokens just where the other sources are empty."""
+    only: just the pages that may be wanted are parsed and shuffled, once."""
     pages = manifestations.filter(
-        (F.col("role") == "main") & (F.col("fmt") == "xhtml")
-        & F.col("body").contains("eli-main-title") & parses(F.col("body"))
+        (F.col("role") == "main") & (F.col("fmt") == "xhtml") & F.col("body").contains("eli-main-title")
     ).select("celex_id", "body")
     keys = ["celex_id"]
-    if wanted is None:
-        pages = by_key(pages, keys)
-    else:
+    if wanted is not None:
+        pages = may_have_key(pages, wanted.select("celex_id"))
+    # inline, not a filter: a filter would be pushed below the pruning
+    pages = by_key(pages.select("celex_id", F.inline(F.when(parses(F.col("body")), F.array(F.struct("body"))))), keys)
+    if wanted is not None:
         # same partitioning on both sides, which the join keeps for the tokens
-        pages = by_key(only_keys(pages, wanted.select("celex_id")), keys)
         pages = pages.join(by_key(wanted.select("celex_id"), keys), "celex_id", "left_semi")
+    pages = pages.groupBy("celex_id").agg(F.min_by("body", body_mark(F.col("body"))).alias("body"))
     pages = pages.withColumn("html", flatten_wrappers(F.col("body")))
     tokens = with_levels(html_tokens(pages, keys, "html", partitioned=True, loose=True), keys)
     inner = inside_first(tokens, keys, (F.col("tag") == "div") & (F.col("class") == "eli-main-title"))
@@ -59,6 +61,7 @@ def resolve_title(
     if manifestations is None:
         known = known.withColumn("html_title", F.lit(None).cast("string"))
     else:
+        known = materialize(known)  # narrow; used for the pruning, for the pages and for the result
         known = known.join(html_titles(manifestations, known.filter(early.isNull())), "celex_id", "left")
     return known.select(
         "celex_id",
@@ -92,17 +95,21 @@ def resolve_date(titles: DataFrame, graph: DataFrame, notices: DataFrame) -> Dat
 
 
 def resolve_html(manifestations: DataFrame, ids: DataFrame | None = None) -> DataFrame:
-    """(celex_id, full_text_html): the XHTML, else the plain HTML, wrappers
-    flattened; page structure does not matter here. The choice is made on
-    narrow rows; when they are few, only the chosen bodies are shuffled."""
+    """(celex_id, full_text_html), one row per id: the XHTML, else the plain
+    HTML, wrappers flattened; page structure does not matter here. The choice is
+    made on narrow rows; only bodies that may be chosen are shuffled."""
     main = manifestations.filter((F.col("role") == "main") & ~is_missing(F.col("body")))
-    rank = F.when(F.col("fmt") == "xhtml", 0).otherwise(1)
-    chosen = main.groupBy("celex_id").agg(F.min_by("fmt", rank).alias("fmt"))
+    main = main.select("celex_id", "fmt", "body")
+    if ids is not None:
+        main = may_have_key(main, ids.select("celex_id"))
+    rank = F.struct(F.when(F.col("fmt") == "xhtml", 0).otherwise(1).alias("rank"), "mark")
+    facts = main.select("celex_id", "fmt", body_mark(F.col("body")).alias("mark"))
+    chosen = facts.groupBy("celex_id").agg(F.min_by(F.struct("fmt", "mark"), rank).alias("c")).select("celex_id", "c.*")
     if ids is not None:
         chosen = chosen.join(ids.select("celex_id").distinct(), "celex_id", "left_semi")
-    return only_keys(main, chosen.select("celex_id", "fmt")).join(chosen, ["celex_id", "fmt"]).select(
-        "celex_id", flatten_wrappers(F.col("body")).alias("full_text_html")
-    )
+    bodies = main.join(chosen, ["celex_id", "fmt"]).filter(body_mark(F.col("body")) == F.col("mark"))
+    bodies = bodies.dropDuplicates(["celex_id", "fmt"])
+    return bodies.select("celex_id", flatten_wrappers(F.col("body")).alias("full_text_html"))
 
 
 def build_relations(bag: DataFrame, include: bool = True) -> DataFrame:

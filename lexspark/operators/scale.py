@@ -13,6 +13,7 @@ BROADCAST_ROWS = 100_000
 ROWS_PER_SALT = 10_000
 ROWS_OUT_PER_SALT = 1_000_000
 HOT_KEYS = 10_000
+FILTER_BITS = 1 << 26
 
 
 def by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -30,14 +31,29 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if small else df
 
 
-def only_keys(df: DataFrame, keys: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Wide rows whose key is in a narrow table, dropped in the scan when a
-    bounded count shows that the table is small; else df as it is. For callers
-    that join on the same key later anyway: there it only saves work."""
-    keys = keys.distinct()
-    if keys.limit(max_rows + 1).count() > max_rows:
-        return df
-    return df.join(F.broadcast(keys), keys.columns, "left_semi")
+def may_have_key(df: DataFrame, keys: DataFrame) -> DataFrame:
+    """Wide rows whose key may be among the keys, for any number of keys; the others are dropped in the task that reads
+    them. A row may be let through wrongly, none is ever lost, so callers join on the key later.
+
+    The keys set bits of one map of ``FILTER_BITS`` bits, whatever their number; its parts of 4 KB are what is broadcast,
+    8 MB at the most. Nothing is counted or collected beforehand."""
+    names = keys.columns
+    spot = F.pmod(F.xxhash64(*names), F.lit(FILTER_BITS)) + 1
+    bits = keys.select(spot.alias("_spot")).groupBy(F.bitmap_bucket_number("_spot").alias("_part")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("_spot")).alias("_bits")
+    )
+    placed = df.withColumn("_spot", spot).withColumn("_part", F.bitmap_bucket_number("_spot"))
+    byte = F.expr("substring(_bits, cast(bitmap_bit_position(_spot) div 8 as int) + 1, 1)")
+    held = F.conv(F.hex(byte), 16, 10).cast("int").bitwiseAND(F.expr("shiftleft(1, cast(bitmap_bit_position(_spot) % 8 as int))"))
+    return placed.join(F.broadcast(bits), "_part").filter(held != 0).select(*df.columns)
+
+
+def hot_keys(rows: DataFrame, keys: Sequence[str], rows_per_salt: int = ROWS_PER_SALT) -> DataFrame:
+    """(keys, _salts) of the keys that hold more than ``rows_per_salt`` rows and more than 1/HOT_KEYS of them all, so
+    fewer than HOT_KEYS keys: a table that is safe to broadcast. For narrow rows that are written already."""
+    floor = max(rows_per_salt, -(-rows.count() // HOT_KEYS))
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > floor)
+    return F.broadcast(sizes.select(*keys, F.ceil(F.col("_n") / F.lit(rows_per_salt)).cast("int").alias("_salts")))
 
 
 def salted_join(

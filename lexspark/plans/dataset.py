@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from lexspark.functions.ids import document_type, is_consolidated, is_valid_celex, original_celex
 from lexspark.functions.markup import flatten_wrappers
 from lexspark.model import UNIT_TYPES
-from lexspark.operators.choose import body_choices
-from lexspark.operators.graph import relations_with_original
+from lexspark.operators.choose import body_choices, body_mark
+from lexspark.operators.graph import original_relations
 from lexspark.operators.resolve import build_works, one_per_id, resolve_date, resolve_html, resolve_title
-from lexspark.operators.scale import by_key, materialize, only_keys, salted_join
-from lexspark.operators.units import extract_units, type_bits
+from lexspark.operators.scale import by_key, hot_keys, materialize, may_have_key
+from lexspark.operators.units import extract_units, type_bits, wants
 from lexspark.plans.discover import discover_works, keyword_concepts, listed_works
 from lexspark.spec import ExtractionSpec, JobSpec, ListSpec
 
@@ -31,19 +31,23 @@ def unit_sources(ids: DataFrame, manifestations: DataFrame, spec: ExtractionSpec
     * the own body gives all that is not borrowed. Without an own body a
       document has no units at all.
     """
+    return marked_sources(ids, manifestations, spec).drop("mark")
+
+
+def marked_sources(ids: DataFrame, manifestations: DataFrame, spec: ExtractionSpec) -> DataFrame:
+    """``unit_sources`` with the mark of the body that counts."""
     valid = ids.select("celex_id").distinct().filter(is_valid_celex(F.col("celex_id")))
-    # a short list of ids reads, parses and tests only its own bodies and those of the original acts
+    # only bodies of the ids and of their original acts are parsed and tested
     acts = valid.select(original_celex(F.col("celex_id")).alias("celex_id"))
-    bodies = only_keys(manifestations.filter(is_valid_celex(F.col("celex_id"))), valid.unionByName(acts))
+    bodies = may_have_key(manifestations.filter(is_valid_celex(F.col("celex_id"))), valid.unionByName(acts))
     choices = body_choices(bodies)
     main = choices.filter(F.col("role") == "main")
-    own = valid.join(main.filter(F.col("own").isNotNull()).select("celex_id", "own.*"), "celex_id")
+    own = valid.join(main.filter(F.col("own").isNotNull()).select("celex_id", "own"), "celex_id")
     original = main.filter(F.col("lent").isNotNull()).select(
-        F.col("celex_id").alias("original_id"), F.col("lent.fmt").alias("o_fmt"),
-        F.col("lent.structure").alias("o_structure"),
+        F.col("celex_id").alias("original_id"), F.col("lent").alias("original")
     )
     annex = choices.filter((F.col("role") == "annex") & F.col("lent").isNotNull()).select(
-        "celex_id", F.col("lent.fmt").alias("a_fmt"), F.col("lent.structure").alias("a_structure")
+        "celex_id", F.col("lent").alias("annex")
     )
     bits = type_bits(spec.unit_types)
     recital, annex_bit = bits & 1, bits & 4
@@ -53,18 +57,17 @@ def unit_sources(ids: DataFrame, manifestations: DataFrame, spec: ExtractionSpec
     wide = own.join(original, "original_id", "left").join(
         annex.filter(document_type(F.col("celex_id")) == "proposal"), "celex_id", "left"
     )
-    borrows = F.col("o_fmt").isNotNull() & F.lit(recital != 0)
-    splits = F.col("a_fmt").isNotNull() & F.lit(annex_bit != 0)
+    borrows = F.col("original").isNotNull() & F.lit(recital != 0)
+    splits = F.col("annex").isNotNull() & F.lit(annex_bit != 0)
     take = lambda test, bit: F.when(test, F.lit(bit)).otherwise(F.lit(0))
-    row = lambda src, role, fmt, structure, want: F.struct(
-        src.alias("src_id"), F.lit(role).alias("role"), fmt.alias("fmt"),
-        structure.alias("structure"), want.cast("int").alias("want"),
+    row = lambda src, role, body, want: F.struct(
+        src.alias("src_id"), F.lit(role).alias("role"), body["fmt"].alias("fmt"),
+        body["structure"].alias("structure"), body["mark"].alias("mark"), want.cast("int").alias("want"),
     )
     sources = F.array(
-        row(F.col("celex_id"), "main", F.col("fmt"), F.col("structure"),
-            F.lit(bits) - take(borrows, recital) - take(splits, annex_bit)),
-        row(F.col("original_id"), "main", F.col("o_fmt"), F.col("o_structure"), take(borrows, recital)),
-        row(F.col("celex_id"), "annex", F.col("a_fmt"), F.col("a_structure"), take(splits, annex_bit)),
+        row(F.col("celex_id"), "main", F.col("own"), F.lit(bits) - take(borrows, recital) - take(splits, annex_bit)),
+        row(F.col("original_id"), "main", F.col("original"), take(borrows, recital)),
+        row(F.col("celex_id"), "annex", F.col("annex"), take(splits, annex_bit)),
     )
     return wide.select("celex_id", F.inline(sources)).filter(
         (F.col("want") != 0) & F.col("structure").isNotNull()
@@ -77,35 +80,37 @@ def build_text_units(
     """Rows (celex_id, type, number, title, text, type_rank, pos), ordered in a
     document by (type_rank, pos).
 
-    Every body is shuffled once, by its key, against the narrow source rows
-    (a shuffled hash join keeps that partitioning for all later windows), and
-    is cut once for all unit types it has to give. The source rows need one
-    look at every body; they are narrow and are written once, so the bodies are
-    not looked through again for each use.
+    The narrow source rows (written once) say which body gives which unit types
+    to which document. Together they make one job per body: the types that any
+    document takes from it. A body is pruned by key where it is read, shuffled
+    once and cut once, and its units go to all their documents by a join that
+    keeps the partitioning. An act with very many versions is dealt over salts,
+    so its body is repeated a few times before the shuffle, and no other is.
     """
-    sources = materialize(unit_sources(ids, manifestations, spec))
-    own = sources.filter(F.col("celex_id") == F.col("src_id")).select(*BODY_KEYS, "structure", "want")
-    borrowed = sources.filter(F.col("celex_id") != F.col("src_id"))
-    lent = borrowed.select(F.col("src_id").alias("celex_id"), "role", "fmt", "structure", "want").distinct()
-
-    own_units = _units_of(manifestations, own).drop("role", "fmt")
-    lent_units = _units_of(manifestations, lent).drop("role", "fmt").withColumnRenamed("celex_id", "src_id")
-    routes = borrowed.select("celex_id", "src_id")
-    units = own_units.unionByName(
-        salted_join(routes, lent_units, "src_id", ["celex_id"]).drop("src_id")
+    sources = materialize(marked_sources(ids, manifestations, spec))
+    route = sources.withColumnsRenamed({"celex_id": "doc_id", "src_id": "celex_id"})
+    hot = hot_keys(route, BODY_KEYS)
+    salts = F.coalesce("_salts", F.lit(1))
+    route = route.join(hot, BODY_KEYS, "left").withColumn("_salt", F.pmod(F.xxhash64("doc_id"), salts).cast("int"))
+    keys = [*BODY_KEYS, "_salt"]
+    jobs = route.groupBy(*keys).agg(
+        F.min("structure").alias("structure"), F.min("mark").alias("mark"), F.bit_or("want").alias("want")
     )
+    bodies = may_have_key(manifestations.select(*BODY_KEYS, "body"), jobs.select(*BODY_KEYS))
+    bodies = bodies.join(hot, BODY_KEYS, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), salts - 1))).drop("_salts")
+    docs = by_key(bodies, keys).join(by_key(jobs, keys), keys).filter(body_mark(F.col("body")) == F.col("mark"))
+    docs = docs.drop("mark").dropDuplicates(keys).withColumn("html", flatten_wrappers(F.col("body")))
+    units = extract_units(docs, keys, "html", partitioned=True).drop("structure", "want")
+    units = units.join(by_key(route.select(*keys, "doc_id", "want"), keys), keys)
+    given = F.lit(False)
+    for kind in UNIT_TYPES:
+        given = given | ((F.col("type") == kind) & wants(F.col("want"), kind))
     rank = F.array_position(F.array(*[F.lit(t) for t in UNIT_TYPES]), F.col("type")) - 1
-    return units.select(
-        "celex_id", "type", "number", "title", "text", rank.cast("int").alias("type_rank"), "pos"
+    return units.filter(given).select(
+        F.col("doc_id").alias("celex_id"), "type", "number", "title", "text", rank.cast("int").alias("type_rank"), "pos"
     )
 
 
-def _units_of(manifestations: DataFrame, jobs: DataFrame) -> DataFrame:
-    wanted = only_keys(manifestations.select(*BODY_KEYS, "body"), jobs.select(*BODY_KEYS))
-    bodies = by_key(wanted, BODY_KEYS).join(by_key(jobs, BODY_KEYS), BODY_KEYS).withColumn("html", flatten_wrappers(F.col("body")))
-    return extract_units(bodies, BODY_KEYS, "html", partitioned=True).drop("structure", "want")
-
-
 @dataclass(frozen=True)
 class Inputs:
     """Landed tables. Only ``manifestations`` and ``properties`` are needed;
@@ -157,15 +162,21 @@ def build_dataset(inputs: Inputs, spec: JobSpec, ids: DataFrame | None = None) -
 
 
 def dataset_relations(ids: DataFrame, relations: DataFrame | None, spec: JobSpec) -> DataFrame:
+    return owned_relations(ids, relations, spec).drop("owner")
+
+
+def owned_relations(ids: DataFrame, relations: DataFrame | None, spec: JobSpec) -> DataFrame:
+    """The relation rows with ``owner``, the selected document that they are in
+    the dataset for: the source itself, or the consolidated text that takes them
+    over from its original act (the source stays the act)."""
     cols = ["celex_source", "celex_target", "relation_type"]
     if not spec.relations.include_relations or relations is None:
-        return ids.sparkSession.createDataFrame([], ", ".join(f"{c} string" for c in cols))
+        return ids.sparkSession.createDataFrame([], ", ".join(f"{c} string" for c in [*cols, "owner"]))
     full = relations.select(*cols).filter(F.length("celex_target") > 0)
-    sources = ids.select(F.col("celex_id").alias("celex_source"))
-    own = full.join(sources, "celex_source", "left_semi")
+    sources = ids.select(F.col("celex_id").alias("celex_source")).distinct()
+    own = full.join(sources, "celex_source", "left_semi").withColumn("owner", F.col("celex_source"))
     if not spec.relations.include_original_act_relations:
         return own
     # the original act's rows come from the full relation table: the act itself
     # need not be selected
-    added = relations_with_original(full, ids, only_added=True)
-    return own.unionByName(added)
+    return own.unionByName(original_relations(full, ids).withColumnRenamed("_version", "owner"))

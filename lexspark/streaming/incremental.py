@@ -9,10 +9,10 @@ from pyspark.sql import functions as F
 
 from lexspark import model
 from lexspark.functions.ids import is_consolidated, is_valid_celex, original_celex
-from lexspark.plans.dataset import Inputs, build_dataset, select_ids
+from lexspark.plans.dataset import Inputs, build_dataset, owned_relations, select_ids
 from lexspark.spec import JobSpec
 
-TABLES = {"works": "celex_id", "text_units": "celex_id", "relations": "celex_source"}
+TABLES = {"works": "celex_id", "text_units": "celex_id", "relations": "owner"}
 BODY_KEYS = ["celex_id", "role", "fmt"]
 
 
@@ -32,8 +32,10 @@ def write_batch(batch: DataFrame, batch_id: int, inputs: Inputs, spec: JobSpec,
     original act arrived; those that the job selects and that have a main body
     are built anew from all bodies so far, ``inputs.manifestations`` included.
     Each batch writes folders of its own (batch=N) in overwrite mode, so a
-    replayed batch replaces what it wrote. ``current`` reads the latest version
-    of every document.
+    replayed batch replaces what it wrote. Every row carries the document that
+    owns it (of a relation taken over from an original act the consolidated
+    text), and ``versions`` names the documents of each batch: ``current`` reads
+    of every owner what its latest batch wrote, so older rows are withdrawn.
     """
     spark = batch.sparkSession
     columns = [*BODY_KEYS, "body"]
@@ -55,8 +57,9 @@ def write_batch(batch: DataFrame, batch_id: int, inputs: Inputs, spec: JobSpec,
     # only bodies of these documents and of their original acts are read further
     needed = ids.unionByName(ids.select(original_celex(F.col("celex_id")).alias("celex_id"))).distinct()
     bodies = every.join(needed, "celex_id", "left_semi").join(latest, [*BODY_KEYS, "batch"], "left_semi")
-    bodies = bodies.filter(is_valid_celex(F.col("celex_id"))).select(*columns).dropDuplicates(BODY_KEYS)
+    bodies = bodies.filter(is_valid_celex(F.col("celex_id"))).select(*columns)
     tables = build_dataset(dataclasses.replace(inputs, manifestations=bodies), spec, ids)
+    tables["relations"] = owned_relations(ids, inputs.relations, spec)
     for name in TABLES:
         tables[name].write.mode("overwrite").option("compression", "snappy").parquet(f"{out}/{name}/batch={batch_id}")
 
@@ -68,7 +71,7 @@ def current(spark: SparkSession, out: str, name: str) -> DataFrame:
     rows = spark.read.option("mergeSchema", "true").parquet(f"{out}/{name}")
     built = spark.read.schema("celex_id string, batch int").parquet(f"{out}/versions")
     latest = built.groupBy(F.col("celex_id").alias(key)).agg(F.max("batch").alias("batch"))
-    return rows.join(latest, [key, "batch"], "left_semi").drop("batch")
+    return rows.join(latest, [key, "batch"], "left_semi").drop("batch", "owner")
 
 
 def build_incremental(
