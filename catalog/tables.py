@@ -9,8 +9,11 @@ from catalog import query
 from catalog.aggregates import COUNTS, built_tables
 from catalog.filters import SPEC
 from catalog.scans import matches
+from lexspark import model as M
 from lexspark.operators import tables as T
-from lexspark.spec import JobSpec, Metadata
+from lexspark.plans.dataset import build_dataset
+from lexspark.plans.graph_inputs import inputs_from_graph
+from lexspark.spec import JobSpec, ListSpec, Metadata
 
 ORDER = ["celex_source", "celex_target", "relation_type", "pos"]
 
@@ -61,3 +64,31 @@ def profile(spark, sf):
     tables = built_tables(spark, sf)
     concepts = matches(spark, sf).groupBy("keyword", "uri").agg(F.min("label").alias("label"))
     return T.dataset_profile(tables, JOB, ids=tables["works"], concepts=concepts)
+
+
+@query("q_build_from_graph", """
+SELECT w.celex_id,
+       CASE WHEN k % 4 = 0 THEN '[Unavailable]' WHEN k % 11 = 0 THEN 'Act X ' || w.celex_id ELSE 'Act ' || w.celex_id END AS title,
+       CAST(CASE WHEN k % 13 = 0 THEN d + INTERVAL 1 DAY ELSE d END AS date) AS date_adopted,
+       coalesce(r.n, 0) AS n_relations, coalesce(r.n_cites, 0) AS n_cites
+FROM works_src w LEFT JOIN (
+  SELECT celex_source, count(*) AS n, count(*) FILTER (relation_type = 'cites') AS n_cites
+  FROM (SELECT DISTINCT celex_source, celex_target, relation_type FROM relations_src WHERE celex_target <> '') GROUP BY ALL
+) r ON r.celex_source = w.celex_id
+WHERE k >= 0""", "works_src relations_src")
+def build_from_graph(spark, sf):
+    """Works and relations built from triples alone; some works have two dates, some two titles, some no English one."""
+    triples = I.triples(spark, sf)
+    number = F.regexp_extract("s", r"(\d+)$", 1).cast("long")
+    second = triples.filter((F.col("p") == M.P_TITLE) & (number % 11 == 0))
+    second = second.select("s", "p", F.concat(F.lit("Act X "), F.substring("o", F.lit(5), F.length("o"))).alias("o"))
+    inputs = inputs_from_graph(triples.unionByName(second), I.manifestations(spark, sf))
+    ids = inputs.properties.select("celex_id").distinct()
+    tables = build_dataset(inputs, JobSpec(data=ListSpec(celex_ids=frozenset({"32016R0679"}))), ids)
+    counts = tables["relations"].groupBy(F.col("celex_source").alias("celex_id")).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("relation_type") == "cites").alias("n_cites")
+    )
+    return tables["works"].join(counts, "celex_id", "left").select(
+        "celex_id", "title", "date_adopted", F.coalesce("n", F.lit(0)).alias("n_relations"),
+        F.coalesce("n_cites", F.lit(0)).alias("n_cites"),
+    )

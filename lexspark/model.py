@@ -69,6 +69,9 @@ P_SECTOR = CDM + "resource_legal_id_sector"
 P_TITLE = CDM + "expression_title"
 P_EXPRESSION_OF = CDM + "expression_belongs_to_work"
 P_LANGUAGE = CDM + "expression_uses_language"
+P_CONCEPT = CDM + "work_is_about_concept_eurovoc"
+P_DOSSIER = CDM + "work_part_of_dossier"
+P_REFERENCE = CDM + "procedure_code_interinstitutional_reference_procedure"
 P_IN_SCHEME = "http://www.w3.org/2004/02/skos/core#inScheme"
 P_PREF_LABEL = "http://www.w3.org/2004/02/skos/core#prefLabel"
 P_ALT_LABEL = "http://www.w3.org/2004/02/skos/core#altLabel"

@@ -83,9 +83,14 @@ def body_choices(manifestations: DataFrame) -> DataFrame:
     * ``lent``: the body another document borrows. It differs in one case: a
       well-formed XHTML without known structure stays chosen when there is no
       plain HTML, and then gives no units.
-
-    Both carry the ``mark`` of the body.
     """
+    return marked_choices(manifestations).withColumns({
+        c: F.when(F.col(c).isNotNull(), F.struct(f"{c}.fmt", f"{c}.structure")) for c in ("own", "lent")
+    })
+
+
+def marked_choices(manifestations: DataFrame) -> DataFrame:
+    """``body_choices`` with the mark of each body."""
     plain = F.col("fmt") == "html"
     known = F.col("ok") & F.col("structure").isNotNull()
     pair = F.struct("fmt", "structure", "mark")
@@ -99,4 +104,4 @@ def body_choices(manifestations: DataFrame) -> DataFrame:
 
 def choose_body(manifestations: DataFrame) -> DataFrame:
     """One body per (id, role): rows celex_id, role, fmt, structure."""
-    return body_choices(manifestations).filter(F.col("own").isNotNull()).select("celex_id", "role", "own.fmt", "own.structure")
+    return body_choices(manifestations).filter(F.col("own").isNotNull()).select("celex_id", "role", "own.*")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lexspark.functions.ids import is_corrigendum, is_valid_celex, is_valid_procedure, normalize_celex
 from lexspark.functions.text import label_in_language
 from lexspark.model import P_IN_SCHEME, UNIT_TYPES
-from lexspark.operators.scale import broadcast_if_small
+from lexspark.operators.scale import broadcast_if_small, materialize
 
 
 def between_exclusive(
@@ -59,7 +59,8 @@ def concept_filter(
         return df
     if not isinstance(uris, DataFrame):
         uris = df.sparkSession.createDataFrame([(u,) for u in set(uris)], "uri string")
-    wanted = uris.select("uri").filter("uri is not null").distinct()
+    # written once: the match behind it is asked three times
+    wanted = materialize(uris.select("uri").filter("uri is not null").distinct())
     if wanted.isEmpty():
         return df
     picked = tags.join(broadcast_if_small(wanted), "uri", "left_semi")

@@ -8,11 +8,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexspark.functions.ids import is_consolidated, original_celex
-from lexspark.functions.text import expression_in_language, let
+from lexspark.functions.text import expression_in_language
 from lexspark.model import (
-    P_CELEX, P_DATE, P_EXPRESSION_OF, P_LANGUAGE, P_TITLE, RELATION_PREDICATES,
+    P_CELEX, P_DATE, P_EXPRESSION_OF, P_LANGUAGE, P_REFERENCE, P_SECTOR, P_TITLE, P_TYPE, RELATION_PREDICATES,
 )
-from lexspark.operators.scale import salted_join
+from lexspark.operators.scale import may_have_key, salted_join
 
 
 def match_pattern(triples: DataFrame, pattern: Sequence[tuple[str, str]]) -> DataFrame:
@@ -36,6 +36,24 @@ def relation_edges(
     )
 
 
+def star_facts(triples: DataFrame, language: str = "ENG") -> DataFrame:
+    """The facts of every subject in one row, by one pass and one shuffle that
+    combines first: no join per predicate. Columns s, celex_id, type, sector,
+    title, work, spoken, and the lists dates and refs. Of several values of a
+    single-valued fact the greatest counts, so a re-run agrees."""
+    p, o = F.col("p"), F.col("o")
+    given = lambda name: F.when(p == name, o)
+    single = {"celex_id": P_CELEX, "type": P_TYPE, "sector": P_SECTOR, "title": P_TITLE, "work": P_EXPRESSION_OF}
+    wanted = [*single.values(), P_DATE, P_REFERENCE, P_LANGUAGE]
+    spoken = (p == P_LANGUAGE) & expression_in_language(o, language)
+    return triples.filter(p.isin(*wanted)).groupBy("s").agg(
+        *[F.max(given(name)).alias(alias) for alias, name in single.items()],
+        F.array_sort(F.collect_set(F.try_to_date(given(P_DATE), "yyyy-MM-dd"))).alias("dates"),
+        F.array_sort(F.collect_set(given(P_REFERENCE))).alias("refs"),
+        F.bool_or(spoken).alias("spoken"),
+    )
+
+
 def relation_hop(
     triples: DataFrame, predicates: Mapping[str, str] = RELATION_PREDICATES
 ) -> DataFrame:
@@ -75,20 +93,52 @@ def having_language(df: DataFrame, expressions: DataFrame, key: str) -> DataFram
     return df.join(expressions.select(key), key, "left_semi")
 
 
+GRAM = 3
+
+
+def _grams(text: Column, sizes: Sequence[int]) -> Column:
+    """The distinct grams of a text, of several lengths; the one of length 0 is in every text."""
+    cut = lambda n: F.when(F.length(text) >= n, F.transform(
+        F.sequence(F.lit(1), F.length(text) - n + 1), lambda i: F.substring(text, i, F.lit(n))
+    )).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.flatten(F.array(*[cut(n) if n else F.array(F.lit("")) for n in sizes])))
+
+
+def needle_index(needles: DataFrame, folded: Column) -> DataFrame:
+    """(_needle, _folded, _gram): every needle under that of its grams that the fewest needles have, so that no key
+    collects the needles of a common ending. Needles shorter than a gram stand under themselves."""
+    size = F.least(F.length("_folded"), F.lit(GRAM))
+    own = F.transform(
+        F.sequence(F.lit(1), F.greatest(F.length("_folded") - size + 1, F.lit(1))), lambda i: F.substring(F.col("_folded"), i, size)
+    )
+    grams = needles.withColumn("_folded", folded).withColumn("_gram", F.explode(F.array_distinct(own)))
+    held = grams.groupBy("_gram").agg(F.count(F.lit(1)).alias("_held"))
+    return grams.join(held, "_gram").groupBy("_needle", "_folded").agg(F.min_by("_gram", F.struct("_held", "_gram")).alias("_gram"))
+
+
 def contains_join(
-    df: DataFrame, text: str, needles: Sequence[str], name: str, ignore_case: bool = False
+    df: DataFrame, text: str, needles: Sequence[str] | DataFrame, name: str, ignore_case: bool = False
 ) -> DataFrame:
     """One row per (row of df, needle contained in its text); none for a NULL
-    text. The needles are a constant of the plan, tested inside the row, so
-    only hits become rows: no join, no shuffle. Case is folded by Spark on both
-    sides, whatever the number of needles."""
+    text. ``needles`` is a list or a table of one column, of any size.
+
+    A gram index: every needle stands under one of its grams, a text meets the
+    needles of its own grams by an equi-join, and the text is searched for these
+    needles only. Grams that no needle stands under are dropped in the task that
+    reads the text. Case is folded by Spark on both sides."""
     fold = F.lower if ignore_case else (lambda c: c)
-    wanted = sorted(set(needles))
-    if not wanted:
-        return df.withColumn(name, F.lit(None).cast("string")).filter(F.lit(False))
-    table = F.array(*[F.struct(F.lit(n).alias("n"), fold(F.lit(n)).alias("f")) for n in wanted])
-    hits = let(fold(F.col(text)), lambda t: F.filter(table, lambda x: F.contains(t, x["f"])))
-    return df.withColumn("_hit", F.explode(hits)).withColumn(name, F.col("_hit")["n"]).drop("_hit")
+    if isinstance(needles, DataFrame):
+        table = needles.select(F.col(needles.columns[0]).alias("_needle")).filter("_needle is not null").distinct()
+        sizes = [*range(GRAM + 1)]
+    else:
+        table = df.sparkSession.createDataFrame([(n,) for n in sorted(set(needles))], "_needle string")
+        # folding may lengthen a needle, so all lengths from the shortest on
+        sizes = [*range(min((len(n) for n in needles), default=GRAM), GRAM + 1)] or [GRAM]
+    index = needle_index(table, fold(F.col("_needle")))
+    texts = df.withColumn("_text", fold(F.col(text)))
+    met = texts.withColumn("_gram", F.explode(F.when(F.col("_text").isNotNull(), _grams(F.col("_text"), sizes))))
+    hits = may_have_key(met, index.select("_gram")).join(index, "_gram").filter(F.contains("_text", F.col("_folded")))
+    return hits.select(*df.columns, F.col("_needle").alias(name))
 
 
 def match_keywords(labels: DataFrame, keywords: Sequence[str], label: str = "label") -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lexspark.functions.ids import document_type, is_consolidated, is_valid_celex, original_celex
 from lexspark.functions.markup import flatten_wrappers
 from lexspark.model import UNIT_TYPES
-from lexspark.operators.choose import body_choices, body_mark
+from lexspark.operators.choose import body_mark, marked_choices
 from lexspark.operators.graph import original_relations
 from lexspark.operators.resolve import build_works, one_per_id, resolve_date, resolve_html, resolve_title
 from lexspark.operators.scale import by_key, hot_keys, materialize, may_have_key
@@ -40,7 +40,7 @@ def marked_sources(ids: DataFrame, manifestations: DataFrame, spec: ExtractionSp
     # only bodies of the ids and of their original acts are parsed and tested
     acts = valid.select(original_celex(F.col("celex_id")).alias("celex_id"))
     bodies = may_have_key(manifestations.filter(is_valid_celex(F.col("celex_id"))), valid.unionByName(acts))
-    choices = body_choices(bodies)
+    choices = marked_choices(bodies)
     main = choices.filter(F.col("role") == "main")
     own = valid.join(main.filter(F.col("own").isNotNull()).select("celex_id", "own"), "celex_id")
     original = main.filter(F.col("lent").isNotNull()).select(
