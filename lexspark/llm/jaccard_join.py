@@ -31,7 +31,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexspark.llm.common import broadcast_object, mix64, slices, texts_as_bytes, written
+from lexspark.llm.common import broadcast_object, mix64, slices, small_batches, texts_as_bytes, written
 from lexspark.llm.components import components
 
 SHINGLE = 5
@@ -306,7 +306,9 @@ def class_table(docs: DataFrame) -> DataFrame:
             sets = shingler.sets(texts_as_bytes(pdf["text"]))
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "n": [len(s) for s in sets], "cls": [class_of(s) for s in sets]})
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(run, "doc_id long, n long, cls long")
+    # ids travel as text: pandas would make floats of them beside a null
+    rows = docs.select(F.col("doc_id").cast("long").cast("string").alias("doc_id"), "text")
+    return rows.mapInPandas(run, "doc_id string, n long, cls long").withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def sharing(packs: DataFrame, classes: DataFrame, extra: int) -> tuple[DataFrame, DataFrame]:
@@ -490,14 +492,15 @@ def link_edges(sets: DataFrame, clusters: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of docs."""
-    table = written(class_table(docs), "classes")
-    classes = table.filter("n > 0").groupBy("cls", "n").agg(F.min("doc_id").alias("doc_id"))
-    left, _ = sharing(_leading_of_docs(docs, 4 * _buckets(docs)), classes, EXTRA)
-    sets = written(sets_of(docs, left), "sets")
-    again, hot = sharing(_leading_of_sets(sets, EXTRA_AGAIN, 4 * _buckets(docs)), sets.select("cls", "n"), EXTRA_AGAIN)
-    sets = written(sets.join(again.select("cls"), "cls", "left_semi"), "sets")
-    clusters = components(cluster_edges(sets, hot))
-    roots = components(link_edges(sets, clusters))
+    with small_batches(docs.sparkSession):
+        table = written(class_table(docs), "classes")
+        classes = table.filter("n > 0").groupBy("cls", "n").agg(F.min("doc_id").alias("doc_id"))
+        left, _ = sharing(_leading_of_docs(docs, 4 * _buckets(docs)), classes, EXTRA)
+        sets = written(sets_of(docs, left), "sets")
+        again, hot = sharing(_leading_of_sets(sets, EXTRA_AGAIN, 4 * _buckets(docs)), sets.select("cls", "n"), EXTRA_AGAIN)
+        sets = written(sets.join(again.select("cls"), "cls", "left_semi"), "sets")
+        clusters = components(cluster_edges(sets, hot))
+        roots = components(link_edges(sets, clusters))
     named = classes.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
     least = named.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     of_class = named.select("cls", "root").join(least, "root").select("cls", "component_id")

@@ -169,7 +169,7 @@ def fit_languages(docs: DataFrame, usable: Column, per_language: int = 400, fami
 
 def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, lang_pred and score of each row's whole text."""
-    kind = docs.schema[key].dataType.simpleString()
+    kind = docs.schema[key].dataType  # keys travel as text: pandas would make floats of long ones beside a null
     shared = broadcast_object(docs.sparkSession, model)  # some vectors of DIMS floats, whatever the input's size
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -183,5 +183,5 @@ def identify(docs: DataFrame, model: LanguageModel, key: str = "doc_id", text: s
                 yield pd.DataFrame({"k": pdf["k"].iloc[a:b], "lang_pred": np.where(ok, np.array(lang, object), "und"), "score": np.where(ok, score, 0.0)})
 
     t = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(key).alias("k"), t.alias("t"), t.rlike(r"\p{L}").alias("letters"))
-    return rows.mapInPandas(run, f"k {kind}, lang_pred string, score double").withColumnRenamed("k", key)
+    rows = docs.select(F.col(key).cast("string").alias("k"), t.alias("t"), t.rlike(r"\p{L}").alias("letters"))
+    return rows.mapInPandas(run, "k string, lang_pred string, score double").withColumn("k", F.col("k").cast(kind)).withColumnRenamed("k", key)

@@ -11,7 +11,8 @@ from lexspark.llm.queries import query
 
 @query("op9_language_id")
 def op9(spark, sf_dir):
+    """A row without an id is neither held out nor learned from."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = crc_of_id() % 5 == 0
     model = fit_languages(docs, ~held_out)
-    return identify(docs, model).select("doc_id", (crc_of_id() % 5 == 0).alias("held_out"), "lang_pred", "score")
+    return identify(docs, model).select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score")

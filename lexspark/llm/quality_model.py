@@ -182,7 +182,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str, usable: Column
 
 def score(docs: DataFrame, net: ByteNet, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key and score of each row's whole text."""
-    kind = docs.schema[key].dataType.simpleString()
+    kind = docs.schema[key].dataType  # keys travel as text: pandas would make floats of long ones beside a null
     shared = broadcast_object(docs.sparkSession, net)  # a few thousand weights
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -192,4 +192,4 @@ def score(docs: DataFrame, net: ByteNet, key: str = "doc_id", text: str = "text"
             for a, b in slices([len(t) + POSITIONS for t in data], 1 << 22):
                 yield pd.DataFrame({"k": pdf["k"].iloc[a:b], "score": own.scores(data[a:b])})
 
-    return docs.select(F.col(key).alias("k"), F.col(text).alias("t")).mapInPandas(run, f"k {kind}, score double").withColumnRenamed("k", key)
+    return docs.select(F.col(key).cast("string").alias("k"), F.col(text).alias("t")).mapInPandas(run, "k string, score double").withColumn("k", F.col("k").cast(kind)).withColumnRenamed("k", key)

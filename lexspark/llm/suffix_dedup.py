@@ -429,6 +429,12 @@ def kept_bytes(data: bytes, found) -> tuple[bytes, int, int]:
     return np.frombuffer(data, np.uint8)[~gone].tobytes(), int(gone.sum()), runs
 
 
+def _by_text_ids(rows: DataFrame, run, columns: str) -> DataFrame:
+    """mapInPandas with ids as text: pandas would make floats of them beside a null."""
+    rows = rows.withColumn("doc_id", F.col("doc_id").cast("string"))
+    return rows.mapInPandas(run, f"doc_id string, {columns}").withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
 def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc_id, kept): the bytes left of every row's text."""
 
@@ -436,7 +442,7 @@ def deduplicated(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         for pdf in batches:
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "kept": [kept_bytes(t, f)[0] for t, f in zip(texts_as_bytes(pdf["text"]), pdf["found"])]})
 
-    return removals(docs, length).mapInPandas(run, "doc_id long, kept binary")
+    return _by_text_ids(removals(docs, length), run, "kept binary")
 
 
 def removal_report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -452,4 +458,4 @@ def removal_report(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             out.insert(0, "doc_id", pdf["doc_id"].to_numpy())
             yield out
 
-    return removals(docs, length).mapInPandas(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return _by_text_ids(removals(docs, length), run, "n_bytes long, n_removed long, n_spans long, kept_sha256 string")

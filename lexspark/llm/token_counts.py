@@ -192,7 +192,7 @@ class Counter:
 
 def count_tokens(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, n_bytes and n_tokens of each row's text."""
-    kind = docs.schema[key].dataType.simpleString()
+    kind = docs.schema[key].dataType  # keys travel as text: pandas would make floats of long ones beside a null
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         counter = Counter(Merges.from_json(vocabulary))
@@ -202,5 +202,5 @@ def count_tokens(docs: DataFrame, vocabulary: str, key: str = "doc_id", text: st
                 yield pd.DataFrame({"k": pdf["k"].iloc[a:b], "n_bytes": pdf["n_bytes"].iloc[a:b], "n_tokens": counter.count(texts[a:b])})
 
     t = F.coalesce(F.col(text), F.lit(""))
-    rows = docs.select(F.col(key).alias("k"), t.alias("t"), F.octet_length(t).cast("long").alias("n_bytes"))
-    return rows.mapInPandas(run, f"k {kind}, n_bytes long, n_tokens long").withColumnRenamed("k", key)
+    rows = docs.select(F.col(key).cast("string").alias("k"), t.alias("t"), F.octet_length(t).cast("long").alias("n_bytes"))
+    return rows.mapInPandas(run, "k string, n_bytes long, n_tokens long").withColumn("k", F.col("k").cast(kind)).withColumnRenamed("k", key)

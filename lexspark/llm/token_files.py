@@ -16,8 +16,6 @@ gives an empty file; extra columns are never read.
 
 from __future__ import annotations
 
-import sys
-import types
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
@@ -33,13 +31,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
-from lexspark.llm.common import ragged, shared_folder, slices
+from lexspark.llm.common import ragged, shared_folder, slices, small_batches
 from lexspark.llm.token_counts import PRE_TOKEN, byte_letters
 
 BLOCK = 8192
 CHUNK_IDS = 1 << 17
 BATCH_CHARS = 4_000_000
-MEMO = 500_000
+MEMO = 100_000
 CHUNK_SCHEMA = "shard int, chunk int, doc_ids array<long>, doc_lens array<long>, widths int, n_ids long, planes array<binary>"
 
 
@@ -119,14 +117,6 @@ class WordEncoder:
             return self.tokenizer.encode(word, add_special_tokens=False).ids
         return [t.id for t in self.tokenizer.model.tokenize(word.encode("utf-8").decode("latin-1").translate(self.letters))]
 
-    @classmethod
-    def of_worker(cls, path: str) -> WordEncoder:
-        """The encoder that this Python worker keeps from task to task. It only saves time: a new worker starts anew."""
-        kept = sys.modules.setdefault("_llm_worker_memo", types.ModuleType("_llm_worker_memo")).__dict__
-        if path not in kept:
-            kept[path] = cls(path)
-        return kept[path]
-
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and the number of each text."""
         cut = [self.cut(t) for t in texts]
@@ -146,9 +136,9 @@ def write_tokens(docs: DataFrame, vocabulary: str, path: str, end_id: int = 0, b
     """Write the files below path: `chunks` and `index`."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, shard, chunk = WordEncoder.of_worker(vocabulary), TaskContext.get().partitionId(), 0
+        encoder, shard, chunk = WordEncoder(vocabulary), TaskContext.get().partitionId(), 0
         for pdf in batches:
-            texts, keys = pdf["text"].tolist(), pdf["doc_id"].astype("Int64")
+            texts, keys = pdf["text"].tolist(), pdf["doc_id"].tolist()
             for a, b in slices([len(t) for t in texts], BATCH_CHARS):
                 ids, lens = encoder.encode(texts[a:b])
                 ends = np.cumsum(lens)
@@ -157,9 +147,9 @@ def write_tokens(docs: DataFrame, vocabulary: str, path: str, end_id: int = 0, b
                 begin = 0
                 for c, d in slices(lens.tolist(), CHUNK_IDS):
                     n = int(lens[c:d].sum())
-                    mine = keys.iloc[a + c:a + d]
+                    mine = keys[a + c:a + d]
                     yield pd.DataFrame({
-                        "shard": [shard], "chunk": [chunk], "doc_ids": [[None if x is pd.NA else int(x) for x in mine]], "doc_lens": [lens[c:d]],
+                        "shard": [shard], "chunk": [chunk], "doc_ids": [[None if x is None else int(x) for x in mine]], "doc_lens": [lens[c:d]],
                         "widths": [32 if bits else 4], "n_ids": [n], "planes": [chunk_planes(all_ids[begin:begin + n], bits)],
                     })
                     begin += n
@@ -167,7 +157,10 @@ def write_tokens(docs: DataFrame, vocabulary: str, path: str, end_id: int = 0, b
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     placed = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
-    placed.mapInPandas(run, CHUNK_SCHEMA).write.parquet(f"{path}/chunks")
+    # ids travel as text: pandas would make floats of them beside a null
+    placed = placed.select(F.col("doc_id").cast("string").alias("doc_id"), "text")
+    with small_batches(docs.sparkSession):
+        placed.mapInPandas(run, CHUNK_SCHEMA).write.parquet(f"{path}/chunks")
     chunks = docs.sparkSession.read.schema(CHUNK_SCHEMA).parquet(f"{path}/chunks")
     within = Window.partitionBy("shard").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     index = chunks.select("shard", "chunk", "n_ids", F.size("doc_ids").alias("n_docs"), F.aggregate(
@@ -192,11 +185,11 @@ def read_tokens(spark, path: str, visit: Callable[[np.ndarray], int], name: str)
                 lens = np.asarray(row.doc_lens, np.int64)
                 ends = np.cumsum(lens)
                 yield pd.DataFrame({
-                    "shard": row.shard, "chunk": row.chunk, "doc_id": pd.array(list(row.doc_ids), dtype="Int64") if len(lens) else [],
+                    "shard": row.shard, "chunk": row.chunk, "doc_id": pd.array([None if x is None else int(x) for x in row.doc_ids], dtype="Int64") if len(lens) else [],
                     "inside": ends - lens, "n_tokens": lens, name: [visit(ids[e - n:e]) for e, n in zip(ends, lens)],
                 })
 
-    found = chunks.mapInPandas(run, f"shard int, chunk int, doc_id long, inside long, n_tokens long, {name} long")
+    found = chunks.withColumn("doc_ids", F.col("doc_ids").cast("array<string>")).mapInPandas(run, f"shard int, chunk int, doc_id long, inside long, n_tokens long, {name} long")
     return found.join(index, ["shard", "chunk"]).select("doc_id", (F.col("start") + F.col("inside")).alias("start"), "n_tokens", name)
 
 

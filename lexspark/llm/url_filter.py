@@ -222,7 +222,7 @@ def fit_filter(pages: DataFrame, rules: Rules, key: str = "page_id", max_rows: i
 
 def judge(pages: DataFrame, model: UrlFilter, key: str = "page_id") -> DataFrame:
     """key, host, path, rule, verdict of each url."""
-    kind = pages.schema[key].dataType.simpleString()
+    kind = pages.schema[key].dataType  # keys travel as text: pandas would make floats of long ones beside a null
     shared = broadcast_object(pages.sparkSession, model)  # rules given by the caller, and at most `rounds` small trees
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -232,5 +232,5 @@ def judge(pages: DataFrame, model: UrlFilter, key: str = "page_id") -> DataFrame
             out.insert(0, "k", pdf["k"].to_numpy())
             yield out
 
-    rows = pages.select(F.col(key).alias("k"), "url")
-    return rows.mapInPandas(run, f"k {kind}, host string, path string, rule string, verdict string").withColumnRenamed("k", key)
+    rows = pages.select(F.col(key).cast("string").alias("k"), "url")
+    return rows.mapInPandas(run, "k string, host string, path string, rule string, verdict string").withColumn("k", F.col("k").cast(kind)).withColumnRenamed("k", key)
