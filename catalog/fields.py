@@ -9,7 +9,10 @@ from catalog.units import NAMES, valid_manifestations
 from lexspark.functions.markup import structure_of
 from lexspark.operators import resolve as R
 from lexspark.operators.graph import relation_map
+from lexspark.operators.tables import outcome_counts
+from lexspark.plans.dataset import Inputs, checked_dataset
 from lexspark.sources.landed import notice_fields
+from lexspark.spec import JobSpec, ListSpec
 
 TITLES = f"""
 SELECT w.celex_id, coalesce({nrm('g.title')}, {nrm('n.notice_title')}, b.title, '[Unavailable]') AS title,
@@ -94,3 +97,21 @@ def works(spark, sf):
 SELECT celex_id, 'no date' AS reason FROM ({WORKS}) WHERE date_adopted IS NULL""", TITLE_CTES)
 def quarantine(spark, sf):
     return R.with_quarantine(built_works(spark, sf))[1].select("celex_id", "reason")
+
+
+@query("q_build_outcomes", f"""
+SELECT status, reason, count(*) AS n, sum(n_relations)::BIGINT AS n_relations FROM (
+  SELECT w.celex_id, CASE WHEN date_adopted IS NULL THEN 'failed' ELSE 'successful' END AS status,
+         CASE WHEN date_adopted IS NULL THEN 'no date' END AS reason,
+         CASE WHEN date_adopted IS NULL THEN 0 ELSE coalesce(r.n, 0) END AS n_relations
+  FROM ({WORKS}) w LEFT JOIN (SELECT celex_source, count(*) AS n FROM relations_src WHERE celex_target <> '' GROUP BY 1) r
+    ON r.celex_source = w.celex_id) GROUP BY ALL""", TITLE_CTES + " relations_src")
+def build_outcomes(spark, sf):
+    """The ledger of a whole build, and what it let into the relations."""
+    ids, graph, notices = _inputs(spark, sf)
+    inputs = Inputs(manifestations=I.manifestations(spark, sf), properties=graph, notices=notices, relations=I.relations(spark, sf))
+    tables = checked_dataset(inputs, JobSpec(data=ListSpec(celex_ids=frozenset({"32016R0679"}))), ids)
+    kept = tables["relations"].groupBy(F.col("celex_source").alias("celex_id")).agg(F.count(F.lit(1)).alias("m"))
+    return tables["outcomes"].join(kept, "celex_id", "left").groupBy("status", "reason").agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("m"), F.lit(0)).alias("n_relations")
+    )

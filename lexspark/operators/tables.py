@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -175,15 +176,41 @@ def append(df: DataFrame, path: str) -> None:
 SCHEMAS = {"works": WORKS, "text_units": TEXT_UNITS, "relations": RELATIONS}
 
 
+EXPORTED = ("works", "text_units", "relations")
+
+
 def export_dataset(tables: Mapping[str, DataFrame], path: str, spec: OutputSpec = OutputSpec()) -> list[str]:
-    """Write the three tables in every wanted format; raw bodies on request only."""
-    written = []
-    for fmt in sorted(spec.formats):
-        for name in ("works", "text_units", "relations"):
-            df = tables[name]
-            if name == "works":
-                df = project_works(df, spec.include_raw_full_text)
-            target = f"{path.rstrip('/')}/{fmt}/{name}"
-            write_table(df, target, fmt)
-            written.append(target)
-    return written
+    """Write the three tables in every wanted format; raw bodies on request only.
+
+    Each table is built once: the first format is written from the plan, the others from what was written (Parquet
+    first, so that no value goes through text). The manifest comes last; ``exported`` reads nothing without it, so an
+    export that was cut short shows no table."""
+    base = path.rstrip("/")
+    formats = sorted(spec.formats, key=lambda f: (f != "parquet", f))
+    if formats[0] != "parquet":
+        formats = ["parquet", *formats]  # staged only
+    folder = lambda fmt, name: f"{base}/{fmt if fmt in spec.formats else '_staged'}/{name}"
+    rows = []
+    for name in EXPORTED:
+        df = project_works(tables[name], spec.include_raw_full_text) if name == "works" else tables[name]
+        for fmt in formats:
+            write_table(df, folder(fmt, name), fmt)
+            if fmt == "parquet":
+                df = read_table(df.sparkSession, folder(fmt, name), fmt, df.schema)
+            if fmt in spec.formats:
+                rows.append((name, fmt, folder(fmt, name)))
+    spark = tables["works"].sparkSession
+    spark.createDataFrame(rows, "table_name string, format string, path string").coalesce(1).write.json(f"{base}/_manifest")
+    return [folder(fmt, name) for fmt in sorted(spec.formats) for name in EXPORTED]
+
+
+def exported(spark, path: str, name: str, fmt: str) -> DataFrame:
+    """A table of a finished export; an error if the export did not come to its end."""
+    try:
+        listed = spark.read.schema("table_name string, format string, path string").json(f"{path.rstrip('/')}/_manifest")
+        found = listed.filter((F.col("table_name") == name) & (F.col("format") == fmt)).collect()  # a row per file set
+    except AnalysisException:
+        found = []
+    if not found:
+        raise ValueError(f"no finished export of {name} as {fmt} at {path}")
+    return read_table(spark, found[0]["path"], fmt)

@@ -12,7 +12,9 @@ from lexspark.functions.markup import flatten_wrappers
 from lexspark.model import UNIT_TYPES
 from lexspark.operators.choose import body_mark, marked_choices
 from lexspark.operators.graph import original_relations
-from lexspark.operators.resolve import build_works, one_per_id, resolve_date, resolve_html, resolve_title
+from lexspark.operators.resolve import (
+    build_works, one_per_id, quarantine_reason, resolve_date, resolve_html, resolve_title,
+)
 from lexspark.operators.scale import by_key, hot_keys, materialize, may_have_key
 from lexspark.operators.units import extract_units, type_bits, wants
 from lexspark.plans.discover import discover_works, keyword_concepts, listed_works
@@ -161,6 +163,31 @@ def build_dataset(inputs: Inputs, spec: JobSpec, ids: DataFrame | None = None) -
     return tables
 
 
+def checked_dataset(inputs: Inputs, spec: JobSpec, ids: DataFrame | None = None) -> dict[str, DataFrame]:
+    """The build with an outcome for every selected document: one that is not fit for the final tables does not stop the
+    run, and nothing of it gets in.
+
+    Next to the three tables: ``outcomes`` (celex_id, status, reason; status is ``successful`` or ``failed``), one row
+    per document, and ``rejected``, the works that failed with their reason. The ledger is narrow and written once; all
+    tables are split by it. Relations go with the document that they are in the dataset for.
+    """
+    ids = materialize((select_ids(inputs, spec) if ids is None else ids).select("celex_id").distinct())
+    tables = build_dataset(inputs, spec, ids)
+    marked = quarantine_reason(tables["works"].drop("full_text_html")).select("celex_id", "reason")
+    status = F.when(F.col("reason").isNull(), "successful").otherwise("failed")
+    outcomes = materialize(marked.select("celex_id", status.alias("status"), "reason"))
+    failed = outcomes.filter("status = 'failed'").select("celex_id", "reason")
+    without = lambda df, key: df.join(failed.select(F.col("celex_id").alias(key)), key, "left_anti")
+    relations = without(owned_relations(ids, inputs.relations, spec), "owner").drop("owner")
+    return {
+        "works": without(tables["works"], "celex_id").select(*tables["works"].columns),
+        "text_units": without(tables["text_units"], "celex_id").select(*tables["text_units"].columns),
+        "relations": relations,
+        "rejected": tables["works"].join(failed, "celex_id"),
+        "outcomes": outcomes,
+    }
+
+
 def dataset_relations(ids: DataFrame, relations: DataFrame | None, spec: JobSpec) -> DataFrame:
     return owned_relations(ids, relations, spec).drop("owner")
 
