@@ -193,3 +193,35 @@ SELECT doc_id, i, unnest(range(len(c))), unnest(c) FROM (SELECT doc_id, i,
        WHEN i % 7 = 4 THEN ['Titrearticle', 'Titrearticle']
        WHEN i % 7 = 6 AND i % 2 = 0 THEN ['Annexetitre', 'NormalCentered', 'Normal']
        WHEN i % 7 = 6 THEN ['Annexetitre', 'Normal'] ELSE ['Normal'] END AS c FROM lines)""", "lines")
+
+# ---- the pages themselves, by the rule of inputs.page; flat: without the wrappers and the text that goes with them
+_B = "replace(replace(replace(x, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+_S = _B.replace("(x,", "(substr(x, 1, 20),")
+cte("page_lines", f"""
+SELECT doc_id, i, kind, i = max(i) OVER (PARTITION BY doc_id, kind) AS is_last, kind = 0 AND i % 12 = 0 AS wrapped,
+       CASE kind
+       WHEN 0 THEN CASE i % 3
+         WHEN 0 THEN '<div id="rct_' || i || '"><p>' || b || '</p></div>'
+         WHEN 1 THEN '<div id="art_' || i || '"><p class="oj-ti-art">Article ' || i || '</p><div class="eli-title"><p>' || s
+           || '</p></div><div><p>' || b || '</p></div></div>'
+         ELSE '<div id="anx_' || i || '"><p class="oj-doc-ti">ANNEX ' || i || '</p><p class="oj-doc-ti">' || s
+           || '</p><p>' || b || '</p></div>' END
+       WHEN 1 THEN CASE
+         WHEN i % 7 < 2 THEN '<p class="li ManualConsidrant"><span class="num">(' || i || ')</span> ' || b || '</p>'
+         WHEN i % 7 = 2 THEN '<p class="Titrearticle">Article ' || i || '<br/>' || s || '</p>'
+         WHEN i % 7 = 4 THEN '<p class="Titrearticle"><span>Article ' || i || '</span></p><p class="Titrearticle"><span>' || s || '</span></p>'
+         WHEN i % 7 = 6 AND i % 2 = 0 THEN '<p class="Annexetitre">ANNEX IV</p><p class="NormalCentered"><b>' || s || '</b></p>'
+         WHEN i % 7 = 6 THEN '<p class="Annexetitre">ANNEX IV ' || s || '</p>' ELSE '' END
+         || CASE WHEN i % 7 IN (3, 5, 6) THEN '<p class="Normal">' || b || '</p>' ELSE '' END
+       ELSE CASE WHEN i % 11 = 0 THEN '<p>ANNEX ' || i || '</p>' ELSE '' END
+         || CASE WHEN i % 5 = 0 THEN '<p>Article ' || i || '</p>' ELSE '' END
+         || '<p>' || CASE WHEN i % 4 = 0 THEN 'Whereas ' ELSE '' END || b || '</p>' END AS line
+FROM (SELECT doc_id, i, {_B} AS b, {_S} AS s FROM lines), (SELECT unnest([0, 1, 2]) AS kind)""", "lines")
+cte("page_html", """
+SELECT doc_id, kind, head || html || tail AS html, head || flat || tail AS flat FROM (
+  SELECT doc_id, kind, '<html><body><div class="eli-main-title"><p>Page ' || doc_id || '</p><p>title</p></div>'
+           || CASE kind WHEN 2 THEN '<div id="TexteOnly">' ELSE '' END AS head,
+         CASE kind WHEN 1 THEN '<p class="Fait">Done</p>' WHEN 2 THEN '</div>' ELSE '' END || '</body></html>' AS tail,
+         string_agg(CASE WHEN wrapped THEN '<div class="content">lost' || line || '</div>lost too' ELSE line END, chr(10) ORDER BY i) AS html,
+         string_agg(line || CASE WHEN is_last OR wrapped THEN '' ELSE chr(10) END, '' ORDER BY i) AS flat
+  FROM page_lines GROUP BY doc_id, kind)""", "page_lines")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexspark import model
-from lexspark.operators.scale import by_key
+from lexspark.operators.scale import by_key, checkpoint_folder
 
 KEYWORDS = ["RED", "Economy", "ring", "zzz"]
 CONCEPT = "http://example.org/concept/"
@@ -331,3 +333,10 @@ def manifestations(spark, sf) -> DataFrame:
     return by_key(
         rows.select("celex_id", "role", "fmt", F.concat(html, tail).alias("body")), ["celex_id", "role", "fmt"]
     )
+
+
+def landed(df: DataFrame) -> str:
+    """A new folder, shared by all executors, with the rows as Parquet files."""
+    path = f"{checkpoint_folder(df.sparkSession).rstrip('/')}/landed-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return path

@@ -8,13 +8,19 @@ from catalog.ctes import CELEX
 from lexspark.functions.ids import resource_url
 from lexspark.functions.markup import is_missing
 from lexspark.operators.graph import match_keywords
-from lexspark.sources.landed import drop_incomplete, inline, notice_fields, parse_listing, read_bindings
+from lexspark.sources.landed import (
+    drop_incomplete, inline, notice_fields, parse_listing, read_bindings, read_manifestations,
+)
 
 
-@query("q_scan_manifestations", "SELECT celex_id, role, fmt, true AS has_body FROM body_facts", "body_facts")
+@query("q_scan_manifestations", """
+SELECT celex_id, role, fmt, true AS has_body, md5(html || CASE WHEN ok THEN '' ELSE '<p>' END) AS body_md5
+FROM body_facts JOIN page_html USING (doc_id, kind)""", "body_facts page_html")
 def scan_manifestations(spark, sf):
-    return I.manifestations(spark, sf).select(
-        "celex_id", "role", "fmt", (~is_missing(F.col("body"))).alias("has_body")
+    """Bodies that were landed as files, through the reader."""
+    bodies = read_manifestations(spark, I.landed(I.manifestations(spark, sf)))
+    return bodies.select(
+        "celex_id", "role", "fmt", (~is_missing(F.col("body"))).alias("has_body"), F.md5("body").alias("body_md5")
     )
 
 

@@ -11,27 +11,27 @@ from pyspark.sql import types as T
 
 from lexspark import model
 from lexspark.functions.markup import parses
-from lexspark.functions.text import date_from_parts, let, strip, unescape
+from lexspark.functions.text import date_from_parts, decode_body, let, strip, unescape
 
 
 def read_manifestations(spark: SparkSession, path: str) -> DataFrame:
-    """Document bodies keyed by (id, role, format), as Parquet."""
-    return spark.read.schema(model.MANIFESTATIONS).parquet(path)
+    """Document bodies keyed by (id, role, format), as Parquet; the body may be
+    text or bytes. A body that is not UTF-8 is NULL, so the next format counts."""
+    rows = spark.read.schema(model.MANIFESTATIONS).parquet(path)
+    return rows.withColumn("body", decode_body(F.col("body")))
 
 
 def read_manifestation_files(spark: SparkSession, glob: str) -> DataFrame:
-    """Document bodies as files named <id>.<role>.<format>, one body per file."""
-    files = spark.read.text(glob, wholetext=True)
-    name = F.element_at(F.split(F.input_file_name(), "/"), -1)
-    parts = F.regexp_extract(name, r"^(.*)\.(main|annex)\.(xhtml|html)$", 0)
+    """Document bodies as files named <id>.<role>.<format>, one body per file.
+    The bytes are decoded strictly, file by file: a body that is not UTF-8 is
+    NULL, so the next format of the document counts. An empty file has no row."""
+    files = spark.read.format("binaryFile").load(glob)
+    name = F.element_at(F.split("path", "/"), -1)
     field = lambda i: F.regexp_extract(name, r"^(.*)\.(main|annex)\.(xhtml|html)$", i)
-    return files.select(
-        F.url_decode(field(1)).alias("celex_id"),
-        field(2).alias("role"),
-        field(3).alias("fmt"),
-        F.col("value").alias("body"),
-        parts.alias("_ok"),
-    ).filter("_ok <> ''").drop("_ok")
+    return files.filter(field(0) != "").select(
+        field(1).alias("celex_id"), field(2).alias("role"), field(3).alias("fmt"),
+        decode_body(F.col("content")).alias("body"),
+    )
 
 
 _TERM = T.StructType([

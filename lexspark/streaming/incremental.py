@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lexspark import model
 from lexspark.functions.ids import is_consolidated, is_valid_celex, original_celex
+from lexspark.functions.text import decode_body
 from lexspark.plans.dataset import Inputs, build_dataset, owned_relations, select_ids
 from lexspark.spec import JobSpec
 
@@ -17,10 +18,11 @@ BODY_KEYS = ["celex_id", "role", "fmt"]
 
 
 def stream_manifestations(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
-    """Bodies that land in a folder, as a stream."""
+    """Bodies that land in a folder, as a stream; one that is not UTF-8 is NULL."""
     return (
         spark.readStream.schema(model.MANIFESTATIONS)
         .option("maxFilesPerTrigger", files_per_batch).parquet(path)
+        .withColumn("body", decode_body(F.col("body")))
     )
 
 
