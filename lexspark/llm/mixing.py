@@ -86,21 +86,18 @@ def plans_for(totals: dict[str, int], target: Target, budget: int | None) -> lis
     everything = sum(totals.values())
     shares = [totals[s] / everything if everything else 0.0 for s in names]
     weights = weights_at(shares, exponent_for(shares, target))
+    free = budget is None
     if budget is None:
         budget = max((totals[s] / w for s, w in zip(names, weights) if w), default=0)
     out = []
     for s, p, w in zip(names, shares, weights):
-        epochs = budget * w / totals[s] if totals[s] else float(budget_is_free(budget, everything))
+        epochs = budget * w / totals[s] if totals[s] else float(free)
         if abs(epochs - round(epochs)) < 1e-9:
             epochs = float(round(epochs))
         out.append(Plan(s, totals[s], p, w, epochs, max(1, min(MAX_BLOCKS, -(-totals[s] // BLOCK_TOKENS)))))
     return out
 
 
-def budget_is_free(budget: float, everything: int) -> bool:
-    return budget >= everything
-
-
 def hash_of(seed: int, *cols: Column) -> Column:
     return F.xxhash64(F.lit(seed), *cols)
 
@@ -170,4 +167,5 @@ def mixture(docs: DataFrame, target: Target, budget: int | None = None, seed: in
 
 def mixed(docs: DataFrame, target: Target, budget: int | None = None, seed: int = 11) -> DataFrame:
     """Rows of docs as often as the mixture takes them, columns unchanged."""
-    return mixture(docs, target, budget, seed).apply(docs).select(*docs.columns)
+    whole = docs.select("doc_id", "source", F.struct(*docs.columns).alias("_all"))  # no name of theirs meets one of ours
+    return mixture(docs, target, budget, seed).apply(whole).select("_all.*")
