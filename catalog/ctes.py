@@ -152,15 +152,16 @@ SELECT * FROM std_units UNION ALL SELECT * FROM man_units UNION ALL SELECT * FRO
 
 # ---- which bodies exist, by the rule of inputs.manifestations ----------------
 cte("body_facts", """
-SELECT celex_id, 'main' AS role, 'xhtml' AS fmt, doc_id, doc_id % 3 AS kind, k % 7 <> 1 AS ok
+SELECT celex_id, 'main' AS role, 'xhtml' AS fmt, doc_id, doc_id % 3 AS kind, k % 7 <> 1 AS ok,
+       CASE WHEN k % 7 = 1 THEN '<br><p>' WHEN k % 7 = 3 AND k % 3 <> 1 THEN '</i><p>' ELSE '' END AS tail
 FROM works_src JOIN documents ON doc_id = k WHERE k % 4 <> 0
 UNION ALL
-SELECT celex_id, 'main', 'html', doc_id, doc_id % 3, true FROM works_src JOIN documents ON doc_id = k WHERE k % 5 <> 0
+SELECT celex_id, 'main', 'html', doc_id, doc_id % 3, true, '' FROM works_src JOIN documents ON doc_id = k WHERE k % 5 <> 0
 UNION ALL
-SELECT celex_id, 'annex', 'xhtml', doc_id, (doc_id + 1) % 3, k % 8 <> 2
+SELECT celex_id, 'annex', 'xhtml', doc_id, (doc_id + 1) % 3, k % 8 <> 2, CASE k % 8 WHEN 2 THEN '<br><p>' ELSE '' END
 FROM works_src JOIN documents ON doc_id = k WHERE ty = 'PC' AND k % 2 = 0
 UNION ALL
-SELECT celex_id, 'main', 'html', doc_id, (doc_id + 1) % 3, true FROM works_src JOIN documents ON doc_id = -1 - k""",
+SELECT celex_id, 'main', 'html', doc_id, (doc_id + 1) % 3, true, '' FROM works_src JOIN documents ON doc_id = -1 - k""",
     "works_src")
 cte("own_choice", f"""
 SELECT celex_id, role, fmt, doc_id, kind FROM body_facts WHERE ok AND regexp_matches(celex_id, '{CELEX}')

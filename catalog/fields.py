@@ -56,13 +56,13 @@ def dates(spark, sf):
 
 
 @query("q_resolve_html", f"""
-SELECT celex_id, {NAMES.format('kind')} AS structure, NOT ok AS is_broken, md5(flat || CASE WHEN ok THEN '' ELSE '<p>' END) AS html_md5
+SELECT celex_id, {NAMES.format('kind')} AS structure, NOT ok AS is_broken, md5(flat || tail) AS html_md5
 FROM body_facts JOIN page_html USING (doc_id, kind) WHERE role = 'main'
 QUALIFY row_number() OVER (PARTITION BY celex_id ORDER BY CASE fmt WHEN 'xhtml' THEN 0 ELSE 1 END) = 1""", "body_facts page_html")
 def html(spark, sf):
     page = F.col("full_text_html")
     return R.resolve_html(I.manifestations(spark, sf)).select(
-        "celex_id", structure_of(page).alias("structure"), page.endswith("</html><p>").alias("is_broken"), F.md5(page).alias("html_md5")
+        "celex_id", structure_of(page).alias("structure"), page.endswith("</html><br><p>").alias("is_broken"), F.md5(page).alias("html_md5")
     )
 
 

@@ -311,27 +311,28 @@ def manifestations(spark, sf) -> DataFrame:
         "doc_id", F.when(F.col("k") < 0, F.lit(-1) - F.col("k")).otherwise(F.col("k"))
     )
     k = F.col("k")
-    body = lambda cond, role, fmt, shift, broken=None: F.when(
+    # a br keeps a page with an open p from being repaired as XHTML; manual pages have some
+    broken, mended = F.lit("<br><p>"), F.lit("</i><p>")
+    body = lambda cond, role, fmt, shift, tail=None: F.when(
         cond,
         F.struct(
             F.lit(role).alias("role"), F.lit(fmt).alias("fmt"),
             ((F.col("doc_id") + shift) % 3).cast("int").alias("kind"),
-            (F.lit(False) if broken is None else broken).alias("broken"),
+            F.coalesce(F.lit("") if tail is None else tail, F.lit("")).alias("tail"),
         ),
     )
     bodies = F.array_compact(F.array(
-        body((k >= 0) & (k % 4 != 0), "main", "xhtml", 0, k % 7 == 1),
+        body((k >= 0) & (k % 4 != 0), "main", "xhtml", 0, F.when(k % 7 == 1, broken).when((k % 7 == 3) & (k % 3 != 1), mended)),
         body((k >= 0) & (k % 5 != 0), "main", "html", 0),
-        body((k >= 0) & (F.col("ty") == "PC") & (k % 2 == 0), "annex", "xhtml", 1, k % 8 == 2),
+        body((k >= 0) & (F.col("ty") == "PC") & (k % 2 == 0), "annex", "xhtml", 1, F.when(k % 8 == 2, broken)),
         body(k < 0, "main", "html", 1),
     ))
     rows = w.select("celex_id", "doc_id", F.inline(bodies)).join(d, "doc_id")
     html = page(F.col("text"), F.col("doc_id"), F.col("kind"))
-    tail = F.when(F.col("broken"), "<p>").otherwise("")
     # spread like a landed table, whose files are many; it also keeps the page
     # rule from being repeated at every use of the body
     return by_key(
-        rows.select("celex_id", "role", "fmt", F.concat(html, tail).alias("body")), ["celex_id", "role", "fmt"]
+        rows.select("celex_id", "role", "fmt", F.concat(html, F.col("tail")).alias("body")), ["celex_id", "role", "fmt"]
     )
 
 

@@ -14,7 +14,7 @@ from lexspark.sources.landed import (
 
 
 @query("q_scan_manifestations", """
-SELECT celex_id, role, fmt, true AS has_body, md5(html || CASE WHEN ok THEN '' ELSE '<p>' END) AS body_md5
+SELECT celex_id, role, fmt, true AS has_body, md5(html || tail) AS body_md5
 FROM body_facts JOIN page_html USING (doc_id, kind)""", "body_facts page_html")
 def scan_manifestations(spark, sf):
     """Bodies that were landed as files, through the reader."""

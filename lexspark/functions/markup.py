@@ -76,6 +76,11 @@ def attribute(raw: Column, name: str) -> Column:
     return F.when(F.contains(raw, F.lit("=")), bare).otherwise("")
 
 
+_COMMENT = r"(?s)<!--.*?-->"
+_OPEN_END = (
+    r"(?i)<(?!meta\s+http-equiv\s*=\s*[\"']content-type[\"'])(?:" + "|".join(VOID_TAGS) + r")(?![\w.:-])"
+)
+_RAW_MARKUP = r"(?is)<(?:script|style)\b[^>]*+(?<!/)>[^<&]*+(?!</(?:script|style))"
 _PROLOG = r"(?is)^\s*+(?:<\?xml.*?\?>)?\s*+(?:<!--.*?-->\s*+)*+"
 _DOCTYPE = r"<!DOCTYPE[^>\[]*(?:\[.*?\])?\s*>"
 
@@ -107,6 +112,21 @@ def _parses(body: Column) -> Column:
     return F.when(is_missing(body), False).otherwise(let(wrapped, whole))
 
 
+def reads_as_xhtml(body: Column) -> Column:
+    """True when the body is one well-formed XML document, or becomes one by the repair of an HTML parser: unclosed and
+    stray tags, bare ``&`` and unknown entities are mended by it. A void element stays without an end tag there (but a
+    content-type meta is dropped), and scripts and styles keep their ``<`` and ``&``; a page with one of these is not
+    repaired. Nothing, blanks and text without a tag are no document."""
+    return let(body, lambda b: parses(b) | repairable(b))
+
+
+def repairable(body: Column) -> Column:
+    """The second part of ``reads_as_xhtml``."""
+    page = lambda b: F.regexp_replace(b, _COMMENT, "")
+    fits = lambda b: b.rlike("<[A-Za-z]") & ~b.rlike(_RAW_MARKUP) & ~_without_opaque(b).rlike(_OPEN_END)
+    return F.coalesce(let(page(body), fits), F.lit(False))
+
+
 def is_missing(body: Column) -> Column:
     return body.isNull() | ~body.rlike(r"\S")
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexspark.functions.markup import flatten_wrappers, is_missing, parses, structure_of
+from lexspark.functions.markup import flatten_wrappers, is_missing, reads_as_xhtml, structure_of
 from lexspark.functions.text import let
 
 # Word lists of the main text and of the annex.
@@ -57,14 +57,14 @@ def body_mark(body: Column) -> Column:
 
 
 def inspect_bodies(manifestations: DataFrame) -> DataFrame:
-    """Narrow facts about every body, computed inside the row: is it well-formed,
+    """Narrow facts about every body, computed inside the row: is it readable,
     which page structure does it have, and a mark that tells bodies of one key
     apart. The body itself is left behind. Missing bodies have no row; plain
     HTML always counts as readable."""
     facts = lambda body: F.when(
         ~is_missing(body),
         F.array(F.struct(
-            F.when(F.col("fmt") == "xhtml", parses(body)).otherwise(True).alias("ok"),
+            F.when(F.col("fmt") == "xhtml", reads_as_xhtml(body)).otherwise(True).alias("ok"),
             structure_of(flatten_wrappers(body)).alias("structure"),
             body_mark(body).alias("mark"),
         )),
@@ -76,8 +76,8 @@ def inspect_bodies(manifestations: DataFrame) -> DataFrame:
 def body_choices(manifestations: DataFrame) -> DataFrame:
     """Both choices of a body per (id, role), in one pass over the bodies:
 
-    * ``own``: (fmt, structure) of the XHTML when it is well-formed and has a
-      known structure, else of the plain HTML; NULL without a usable body. The
+    * ``own``: (fmt, structure) of the XHTML when it is well-formed, or repaired so, and has
+      a known structure, else of the plain HTML; NULL without a usable body. The
       structure may be NULL (plain HTML of unknown structure): such a body gives
       no units but counts as read.
     * ``lent``: the body another document borrows. It differs in one case: a

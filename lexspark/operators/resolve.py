@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexspark.functions.ids import document_type
-from lexspark.functions.markup import flatten_wrappers, is_missing, parses
+from lexspark.functions.markup import flatten_wrappers, is_missing, reads_as_xhtml
 from lexspark.functions.text import date_from_title, first_nonempty, normalize_text
 from lexspark.model import LANGUAGE
 from lexspark.operators.graph import with_original
@@ -29,7 +29,7 @@ def html_titles(manifestations: DataFrame, wanted: DataFrame | None = None) -> D
     if wanted is not None:
         pages = may_have_key(pages, wanted.select("celex_id"))
     # inline, not a filter: a filter would be pushed below the pruning
-    pages = by_key(pages.select("celex_id", F.inline(F.when(parses(F.col("body")), F.array(F.struct("body"))))), keys)
+    pages = by_key(pages.select("celex_id", F.inline(F.when(reads_as_xhtml(F.col("body")), F.array(F.struct("body"))))), keys)
     if wanted is not None:
         # same partitioning on both sides, which the join keeps for the tokens
         pages = pages.join(by_key(wanted.select("celex_id"), keys), "celex_id", "left_semi")

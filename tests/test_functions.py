@@ -111,6 +111,18 @@ def test_parses(spark):
     assert apply(spark, M.parses, given) == [True, True, False, False, False, False, False, False, False, False]
 
 
+def test_repaired_pages_read_as_xhtml(spark):
+    given = [
+        "<a><b/></a>", "<div><p>one<p>two</div>", "<div>x</i></div>", "<div>A & B &nbsp;</div>", "<div>a<br>b</i></div>",
+        "<a><img src='x'></a>", '<html><meta http-equiv="Content-Type" content="x"><p>y</html>', "<a><!-- <br> --><p></a>",
+        "<a><script>if (a < b) c</script><p></a>", "<a><script>c()</script><p></a>", "<a><style>p > b {}</style><p></a>",
+        "<a><colgroup><p></a>", "text", "", None,
+    ]
+    assert apply(spark, M.reads_as_xhtml, given) == [
+        True, True, True, True, False, False, True, True, False, True, True, True, False, False, False,
+    ]
+
+
 def test_flatten_wrappers(spark):
     given = [
         '<b><div class="content">lost<p>a</p>kept<div>x</div></div>lost<p>c</p></b>',

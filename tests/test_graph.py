@@ -175,7 +175,8 @@ def test_body_choices(spark):
     std = '<html><div id="rct_1"><p>x</p></div></html>'
     m = spark.createDataFrame([
         ("a", "main", "xhtml", std), ("a", "main", "html", std),
-        ("b", "main", "xhtml", "<html><div id='rct_1'><p></html>"), ("b", "main", "html", std),
+        ("b", "main", "xhtml", "<html><br><div id='rct_1'><p></html>"), ("b", "main", "html", std),
+        ("f", "main", "xhtml", "<html><div id='rct_1'><p>A & B</i></html>"), ("f", "main", "html", std),
         ("c", "main", "xhtml", "<html/>"), ("d", "main", "xhtml", "<html/>"), ("d", "main", "html", "<p>none"),
         ("e", "main", "xhtml", "  "),
     ], M.MANIFESTATIONS)
@@ -184,6 +185,7 @@ def test_body_choices(spark):
     assert got == {
         "a": (("xhtml", "standard"), ("xhtml", "standard")),
         "b": (("html", "standard"), ("html", "standard")),
+        "f": (("xhtml", "standard"), ("xhtml", "standard")),  # repaired
         "c": (None, ("xhtml", None)),
         "d": (("html", None), ("html", None)),
     }

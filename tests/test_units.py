@@ -112,3 +112,23 @@ def test_plain(spark):
 def test_plain_unclosed_paragraphs(spark):
     page = """<html><body><div id="TexteOnly"><p>Article 1<p>one <b>bold<p>two</div><p>out</body></html>"""
     assert units(spark, extract_plain, page, types=["article"]) == [("article", "1", "", "one bold two")]
+
+
+@pytest.mark.parametrize("damage", [
+    lambda p: p.replace("</p>", ""), lambda p: p.replace("</p>", "</p></i>"), lambda p: p.replace("&amp;", "&"),
+    lambda p: p.replace("<b>", "<b><u>"),
+])
+def test_damaged_xhtml_gives_the_units_of_the_sound_page(spark, damage):
+    """Unclosed paragraphs, stray end tags, a bare &, an element closed by its ancestor."""
+    from lexspark.plans.dataset import build_text_units
+
+    page = STANDARD.replace(" lost <div></div>", "")
+    other = '<html><body><div id="art_9"><p>plain HTML</p></div></body></html>'
+    broken = damage(page)
+    assert broken != page
+    rows = [("32016R0679", "main", "xhtml", broken), ("32016R0679", "main", "html", other), ("32016R0680", "main", "html", page)]
+    bodies = spark.createDataFrame(rows, "celex_id string, role string, fmt string, body string")
+    got = {}
+    for r in build_text_units(bodies.select("celex_id").distinct(), bodies).collect():
+        got.setdefault(r["celex_id"], []).append((r["type"], r["number"], r["title"], r["text"]))
+    assert len(got["32016R0680"]) == 4 and sorted(got["32016R0679"]) == sorted(got["32016R0680"])
