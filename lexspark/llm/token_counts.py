@@ -45,6 +45,18 @@ def byte_letters() -> list[str]:
     return letters
 
 
+def check_settings(spec: dict) -> None:
+    """Stop at a file whose texts are normalised, prefixed or cut in another way than byte-level files do by default."""
+    cutter, model = spec.get("pre_tokenizer") or {}, spec["model"]
+    usual = {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True}
+    if spec.get("normalizer") is not None or any(cutter.get(k, v if k == "use_regex" else None) != v for k, v in usual.items()):
+        raise ValueError("only byte-level files without a normaliser, without a prefix space and with the usual pattern")
+    if model.get("type", "BPE") != "BPE" or any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges")):
+        raise ValueError("only plain byte-pair models")
+    if any(t.get(k) for t in spec.get("added_tokens", []) for k in ("lstrip", "rstrip", "single_word", "normalized")):
+        raise ValueError("only special strings that are matched as they stand")
+
+
 @dataclass
 class Merges:
     """Vocabulary as arrays: the symbol of each byte, and merge keys in order with their ranks and results."""
@@ -60,6 +72,7 @@ class Merges:
     def from_json(cls, path: str) -> Merges:
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
+        check_settings(spec)
         vocab, merges = spec["model"]["vocab"], spec["model"]["merges"]
         width = max(vocab.values()) + 1
         pairs = [m.split(" ") if isinstance(m, str) else m for m in merges]

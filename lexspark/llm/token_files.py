@@ -16,10 +16,12 @@ gives an empty file; extra columns are never read.
 
 from __future__ import annotations
 
+import json
 import zlib
+from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pandas as pd
@@ -32,12 +34,12 @@ from pyspark.sql.window import Window
 from tokenizers import Tokenizer
 
 from lexspark.llm.common import ragged, shared_folder, slices, small_batches
-from lexspark.llm.token_counts import PRE_TOKEN, byte_letters
+from lexspark.llm.token_counts import PRE_TOKEN, byte_letters, check_settings
 
 BLOCK = 8192
 CHUNK_IDS = 1 << 17
 BATCH_CHARS = 4_000_000
-MEMO = 100_000
+MEMO = 64_000_000
 CHUNK_SCHEMA = "shard int, chunk int, doc_ids array<long>, doc_lens array<long>, widths int, n_ids long, planes array<binary>"
 
 
@@ -78,12 +80,14 @@ class Pool:
     ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint32))
     starts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     sizes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    held: int = 0  # bytes, about
 
     def add(self, names: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
         self.names.update(zip(names, range(len(self.names), len(self.names) + len(names))))
         self.starts = np.r_[self.starts, len(self.ids) + np.cumsum(sizes) - sizes]
         self.sizes = np.r_[self.sizes, sizes]
         self.ids = np.r_[self.ids, ids.astype(np.uint32)]
+        self.held += sum(map(len, names)) + 4 * len(ids) + 100 * len(names)
 
     def of(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the runs in turn, and their sizes."""
@@ -93,41 +97,86 @@ class Pool:
 
 @dataclass
 class WordEncoder:
-    """Encodes whole texts with a byte-level file of the tokenizers library. Pre-tokens are cut with the fixed pattern of
-    such files; each new one goes through the library's merge model once and is remembered, up to MEMO of them. A text
-    that holds a special string goes to the library as it is."""
+    """Encodes whole texts with a byte-level file of the tokenizers library. Where white space is single spaces and line
+    ends between words, a text is cut there, since pre-tokens never cross such a cut; else with the fixed pre-token pattern
+    of such files. Each new unit is cut into pre-tokens, each new pre-token goes through the library's merge model once, and
+    both are remembered, in up to MEMO bytes. A text that holds a special string goes to the library as it is."""
 
     path: str
 
     def __post_init__(self) -> None:
+        with open(self.path, encoding="utf-8") as f:
+            check_settings(json.load(f))
         self.tokenizer = Tokenizer.from_file(self.path)
         self.specials = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.pre = regex.compile(PRE_TOKEN)
         self.letters = dict(enumerate(byte_letters()))
+        self.tokenize = self.tokenizer.model.tokenize
         self.words, self.whole = Pool(), set()
 
     def cut(self, text: str) -> list[str]:
         if any(s in text for s in self.specials):
             self.whole.add(text)
             return [text]
+        if text and "\0" not in text and " ".join(text.split()) == text.replace("\n", " "):
+            return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
         return self.pre.findall(text)
 
-    def ids_of(self, word: str) -> list[int]:
-        if word in self.whole:
-            return self.tokenizer.encode(word, add_special_tokens=False).ids
-        return [t.id for t in self.tokenizer.model.tokenize(word.encode("utf-8").decode("latin-1").translate(self.letters))]
+    def letters_of(self, words: list[str]) -> list[str]:
+        """Each pre-token in the letters of the model."""
+        if any("\n" in w for w in words):
+            return [w.encode("utf-8").decode("latin-1").translate(self.letters) for w in words]
+        return "\n".join(words).encode("utf-8").decode("latin-1").translate(self.letters).split(self.letters[10])
+
+    def remember(self, words: list[str]) -> None:
+        """Ids of new pre-tokens, or of new whole texts."""
+        ids, sizes = array("I"), []
+        for w in words if words[0] in self.whole else self.letters_of(words):
+            found = self.tokenizer.encode(w, add_special_tokens=False).ids if w in self.whole else [t.id for t in self.tokenize(w)]
+            ids.extend(found)
+            sizes.append(len(found))
+        self.words.add(words, np.frombuffer(ids, np.uint32), np.array(sizes, np.int64))
+
+    def learn(self, new: set[str]) -> None:
+        """Remember units not met before. Runs of ASCII letters are pre-tokens; other units are cut in one call with a line
+        end between them, which beside non-space is always a pre-token of its own."""
+        names = self.words.names
+        plain, blank, units = [], {"\n"}, []
+        for u in new.difference(self.whole):
+            if u.isascii() and (u.isalpha() or u[0] == " " and u[1:].isalpha()):
+                plain.append(u)
+            elif u.isspace():
+                blank.add(u)
+            else:
+                units.append(u)
+        parts = self.pre.findall("\n".join(units))
+        for fresh in (new & self.whole, blank - names.keys(), set(plain).union(parts) - names.keys() - {"\n"}):
+            if fresh:
+                self.remember(list(fresh))
+        where = np.fromiter(map(names.__getitem__, parts), np.int64, len(parts))
+        gaps = np.flatnonzero(where == names["\n"])
+        sizes = np.diff(np.r_[-1, gaps, len(where)]) - 1
+        several = np.flatnonzero(sizes > 1)  # the others are pre-tokens themselves
+        if len(several):
+            starts = np.r_[0, gaps + 1][several]
+            ids, lens = self.words.of(where[ragged(starts, sizes[several])])
+            sums, stop = np.r_[0, np.cumsum(lens)], np.cumsum(sizes[several])
+            self.words.add([units[i] for i in several], ids, sums[stop] - sums[stop - sizes[several]])
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and the number of each text."""
+        if self.words.held > MEMO or self.whole:
+            self.words, self.whole = Pool(), set()
         cut = [self.cut(t) for t in texts]
-        if len(self.words.names) > MEMO:
-            self.words, self.whole = Pool(), {t for c in cut for t in c if len(c) == 1 and t in self.whole}
-        new = list(set().union(*cut) - self.words.names.keys()) if cut else []
-        if new:
-            found = list(map(self.ids_of, new))
-            self.words.add(new, np.fromiter(chain.from_iterable(found), np.uint32), np.fromiter(map(len, found), np.int64, len(found)))
         number = np.fromiter(map(len, cut), np.int64, len(cut))
-        ids, sizes = self.words.of(np.fromiter(map(self.words.names.__getitem__, chain.from_iterable(cut)), np.int64, int(number.sum())))
+        units = list(chain.from_iterable(cut))
+        where = np.fromiter(map(self.words.names.get, units, repeat(-1)), np.int64, len(units))
+        missing = np.flatnonzero(where < 0)
+        if len(missing):
+            late = [units[i] for i in missing.tolist()]
+            self.learn(set(late))
+            where[missing] = np.fromiter(map(self.words.names.__getitem__, late), np.int64, len(late))
+        ids, sizes = self.words.of(where)
         sums, ends = np.r_[0, np.cumsum(sizes)], np.cumsum(number)
         return ids, sums[ends] - sums[ends - number]
 
