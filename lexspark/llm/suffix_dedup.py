@@ -39,7 +39,8 @@ GRAM = 32
 PIECE = 1 << 20
 NO_ID = -(2**63)
 UNIT = 128
-HOT = 1 << 22  # at most UNIT * 32767
+HOT = UNIT * 32767  # what a counter of 15 bits can tell
+RANGES = 1 << 14  # rows or buckets whose ranges are packed at once
 _LETTERS = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9FB21C651E98DF25))
 _FACTORS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB)]
 
@@ -223,25 +224,57 @@ def _by_bucket(h: np.ndarray, buckets: int) -> Iterator[tuple[int, np.ndarray]]:
         yield int(bucket[order[s]]), order[s:e]
 
 
-def _per_document(ids: np.ndarray, tags: np.ndarray, values: np.ndarray) -> pd.DataFrame:
-    """One row per (id, tag) with its values packed."""
-    order = np.lexsort((tags, ids))
-    ids, tags, values = ids[order], tags[order], values[order]
-    edge = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])]) if len(ids) else np.zeros(0, np.int64)
-    stop = np.r_[edge[1:], len(ids)]
-    return pd.DataFrame({"id": ids[edge], "tag": tags[edge], "found": [np.ascontiguousarray(values[s:e]).tobytes() for s, e in zip(edge, stop)]})
+def _pack(x: np.ndarray, kind=np.int64) -> bytes:
+    return np.ascontiguousarray(x, kind).tobytes()
+
+
+def _packs(ids: np.ndarray, tags: np.ndarray, values: np.ndarray, parts: int) -> list[tuple]:
+    """One FOUND row for each part of the documents: its documents, how many values each has, and the values in turn."""
+    if not len(ids):
+        return []
+    part = (mix64(ids.view(np.uint64) ^ mix64(tags.view(np.uint64))) % np.uint64(parts)).astype(np.int64)
+    order = np.lexsort((tags, ids, part))
+    ids, tags, part, values = ids[order], tags[order], part[order], values[order]
+    doc = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])])
+    sizes = np.diff(np.r_[doc, len(ids)])
+    edge = np.flatnonzero(np.r_[True, np.diff(part[doc]) != 0])
+    rows = []
+    for s, e in zip(edge.tolist(), [*edge[1:].tolist(), len(doc)]):
+        d = doc[s:e]
+        rows.append((int(part[d[0]]), _pack(ids[d]), _pack(tags[d]), _pack(sizes[s:e]), np.ascontiguousarray(values[d[0]:d[-1] + sizes[e - 1]]).tobytes()))
+    return rows
+
+
+def _per_document(packs: DataFrame, parts: int, width: int) -> DataFrame:
+    """(id, tag, found): one row per document from FOUND rows, whose values have `width` bytes."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        got = [r for pdf in batches for r in pdf.itertuples(index=False)]
+        if not got:
+            return
+        ids, tags, sizes = (np.frombuffer(b"".join(getattr(r, c) for r in got), np.int64) for c in ("ids", "tags", "sizes"))
+        values = np.frombuffer(b"".join(r.found for r in got), f"V{width}")
+        got = []
+        starts = np.cumsum(sizes) - sizes
+        order = np.lexsort((tags, ids))
+        ids, tags, sizes = ids[order], tags[order], sizes[order]
+        values = values[ragged(starts[order], sizes)]
+        head = np.flatnonzero(np.r_[True, (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])])
+        stop = np.cumsum(sizes)[np.r_[head[1:], len(ids)] - 1]
+        begin = np.r_[0, stop[:-1]]
+        for a, b in slices((stop - begin).tolist(), 1 << 20):
+            yield pd.DataFrame({"id": ids[head[a:b]], "tag": tags[head[a:b]], "found": [values[s:e].tobytes() for s, e in zip(begin[a:b], stop[a:b])]})
+
+    return packs.repartition(parts, "part").mapInPandas(run, "id long, tag long, found binary")
 
 
 HASHES = "bucket int, hashes binary, ids binary, tags binary, known binary"  # known: 32768 if so, and UNITs of distinct bytes
-FOUND = "id long, tag long, found binary"
+FOUND = "part int, ids binary, tags binary, sizes binary, found binary"
+FOUND_COLUMNS = ["part", "ids", "tags", "sizes", "found"]
 SEGMENTS = "bucket int, text binary, sizes binary, numbers binary, ids binary, tags binary, starts binary, kind int"
 PIECES, DONE, STRINGS = 0, 1, 2  # kinds of SEGMENTS rows
 
 
-def _pack(x: np.ndarray, kind=np.int64) -> bytes:
-    return np.ascontiguousarray(x, kind).tobytes()
-
-
 def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """(doc_id, text, found): every row with the byte ranges (from, to pairs, packed) that go from it."""
     spark = docs.sparkSession
@@ -268,10 +301,8 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                 # hashes that repeat here are known; one entry of each tells the others
                 again = np.repeat(many, np.diff(np.r_[head, len(h)]))
                 if again.any():
-                    yield _per_document(ids[owner[again]], tags[owner[again]], h[again]).rename(
-                        columns={"found": "hashes"}).assign(bucket=-1, ids=lambda d: [_pack(x) for x in d["id"].to_numpy()[:, None]],
-                                                            tags=lambda d: [_pack(x) for x in d["tag"].to_numpy()[:, None]], known=b"")[
-                        ["bucket", "hashes", "ids", "tags", "known"]]
+                    own = [(-1 - k, found, i, t, n) for k, i, t, n, found in _packs(ids[owner[again]], tags[owner[again]], h[again], parts)]
+                    yield pd.DataFrame(own, columns=["bucket", "hashes", "ids", "tags", "known"])
                 h1, o1 = h[head], owner[head]
                 known = (np.minimum(units, 32767) + 32768 * many).astype(np.uint16)
                 out = [(k, _pack(h1[w], np.uint64), _pack(ids[o1[w]]), _pack(tags[o1[w]]), known[w].tobytes()) for k, w in _by_bucket(h1, buckets)]
@@ -282,7 +313,7 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         for pdf in batches:
             own = pdf[pdf["bucket"] < 0]
             if len(own):
-                yield pd.DataFrame({"id": np.frombuffer(b"".join(own["ids"]), np.int64), "tag": np.frombuffer(b"".join(own["tags"]), np.int64), "found": own["hashes"]})
+                yield pd.DataFrame({"part": -1 - own["bucket"], "ids": own["ids"], "tags": own["tags"], "sizes": own["known"], "found": own["hashes"]})
             got += list(pdf[pdf["bucket"] >= 0].itertuples(index=False))
         if not got:
             return
@@ -297,17 +328,16 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         keep = keep[~known[keep]]
         hot = h[order[head[np.add.reduceat(units[order], head) >= hot_units]]]
         if len(hot):
-            yield pd.DataFrame({"id": hot.view(np.int64), "tag": 0, "found": None})
-        if len(keep):
-            yield _per_document(ids[keep], tags[keep], h[keep])
+            yield pd.DataFrame([(-1, b"", b"", b"", _pack(hot, np.uint64))], columns=FOUND_COLUMNS)
+        yield pd.DataFrame(_packs(ids[keep], tags[keep], h[keep], parts), columns=FOUND_COLUMNS)
 
     spread = F.when(F.col("bucket") < 0, F.hash("ids")).otherwise(F.col("bucket"))
     repeated = rows.select("id", "tag", "text").mapInPandas(hashes, HASHES).repartition(parts, spread).mapInPandas(meet, FOUND)
     repeated = written(repeated, "repeated")
-    hot_hashes = np.array(sorted(r["id"] for r in repeated.filter("found is null").select("id").collect()), np.int64).view(np.uint64)
+    hot_hashes = np.sort(np.frombuffer(b"".join(bytes(r["found"]) for r in repeated.filter("part < 0").select("found").collect()), np.uint64))
     shared_hot = broadcast_object(spark, hot_hashes)
-    listed = repeated.filter("found is not null").groupBy("id", "tag").agg(F.collect_list("found").alias("lists"))  # bounded by the text
-    with_hashes = rows.join(listed, ["id", "tag"]).select("id", "tag", "text", "lists")
+    listed = _per_document(repeated.filter("part >= 0"), parts, 8)
+    with_hashes = rows.join(listed, ["id", "tag"]).select("id", "tag", "text", "found")
 
     columns = ["bucket", "text", "sizes", "numbers", "ids", "tags", "starts", "kind"]
 
@@ -333,7 +363,7 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         for pdf in batches:
             pdf = pdf.drop_duplicates(["id", "tag"]).sort_values(["id", "tag"])
             texts, ids, tags = texts_as_bytes(pdf["text"]), pdf["id"].to_numpy(np.int64), pdf["tag"].to_numpy(np.int64)
-            wanted = [np.unique(np.frombuffer(b"".join(x), np.uint64)) for x in pdf["lists"]]
+            wanted = [np.unique(np.frombuffer(x, np.uint64)) for x in pdf["found"]]
             for a, b in slices([len(t) for t in texts], 4 * PIECE):
                 owner, start, number, h, _, _ = segments(texts[a:b], length)
                 edge = np.searchsorted(owner, np.arange(b - a + 1))
@@ -365,17 +395,23 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
                                 _pack(ids[owner[w]]), _pack(tags[owner[w]]), _pack(start[w]), PIECES))
                 yield pd.DataFrame(out, columns=columns)
 
-    def ranges(ids, tags, starts, ends) -> pd.DataFrame:
-        return _per_document(ids, tags, np.column_stack([starts, ends]).astype(np.int64))
-
     def sort(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict[int, list] = {}
         hot = []
+        ready: list[tuple] = []  # ids, tags, starts and ends of ranges
+
+        def packed(least: int) -> Iterator[pd.DataFrame]:
+            if len(ready) >= least:
+                ids, tags, starts, ends = (np.concatenate(x) for x in zip(*ready))
+                ready.clear()
+                yield pd.DataFrame(_packs(ids, tags, np.column_stack([starts, ends]).astype(np.int64), parts), columns=FOUND_COLUMNS)
+
         for pdf in batches:
             for r in pdf.itertuples(index=False):
                 if r.kind == DONE:
                     ids, tags, starts, numbers = (np.frombuffer(x, np.int64) for x in (r.ids, r.tags, r.starts, r.numbers))
-                    yield ranges(ids, tags, starts, starts + numbers - 1 + length)
+                    ready.append((ids, tags, starts, starts + numbers - 1 + length))
+                    yield from packed(RANGES)
                 elif r.kind == STRINGS:
                     hot.append(r)
                 else:
@@ -391,7 +427,7 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             # equal rows send equal strings, so the first may stand there again
             late = np.any([x != np.repeat(x[head], size) for x in (ids, tags, starts)], axis=0)
             if late.any():
-                yield ranges(ids[late], tags[late], starts[late], starts[late] + length)
+                ready.append((ids[late], tags[late], starts[late], starts[late] + length))
         for bucket in list(held):
             got = held.pop(bucket)
             raw = np.frombuffer(b"".join(r.text for r in got), np.uint8)
@@ -407,11 +443,12 @@ def removals(docs: DataFrame, length: int = LENGTH) -> DataFrame:
             a, b = runs_of(repeats(text, begin, size, number, length))
             if len(a):
                 seg = np.searchsorted(begin, a, side="right") - 1
-                yield ranges(ids[seg], tags[seg], starts[seg] + a - begin[seg], starts[seg] + b - 1 - begin[seg] + length)
+                ready.append((ids[seg], tags[seg], starts[seg] + a - begin[seg], starts[seg] + b - 1 - begin[seg] + length))
+                yield from packed(RANGES)
+        yield from packed(1)
 
     spread = F.when(F.col("bucket") < 0, F.hash("ids")).otherwise(F.col("bucket"))
-    gone = with_hashes.mapInPandas(cut, SEGMENTS).repartition(parts, spread).mapInPandas(sort, FOUND)
-    gone = gone.groupBy("id", "tag").agg(F.collect_list("found").alias("found"))
+    gone = _per_document(with_hashes.mapInPandas(cut, SEGMENTS).repartition(parts, spread).mapInPandas(sort, FOUND), parts, 16)
     doc_id = F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id")
     return rows.join(gone, ["id", "tag"], "left").select(doc_id, "text", "found")
 
@@ -420,7 +457,7 @@ def kept_bytes(data: bytes, found) -> tuple[bytes, int, int]:
     """What is left of a text, the number of removed bytes, and of removed runs."""
     if found is None or not len(found):
         return data, 0, 0
-    pairs = np.frombuffer(b"".join(found), np.int64).reshape(-1, 2)
+    pairs = np.frombuffer(found, np.int64).reshape(-1, 2)
     edge = np.zeros(len(data) + 1, np.int64)
     np.add.at(edge, pairs[:, 0], 1)
     np.add.at(edge, pairs[:, 1], -1)
