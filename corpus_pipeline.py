@@ -51,7 +51,7 @@ STAGES = [
     ("token-ID / binary output", token_output),
 ]
 
-#: Connected components, the bisected exponent and the tokenizer have no SQL form; tests hold run() against brute force.
+#: Connected components, the bisected exponent and the tokenizer have no SQL form; tests hold the operators against brute force, not yet run() as a whole.
 ORACLE_SQL = None
 
 
