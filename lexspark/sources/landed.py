@@ -123,11 +123,12 @@ def parse_listing(df: DataFrame, html_col: str, keep: Sequence[str]) -> DataFram
     """Alternatives of a multiple-choice page, one row each, in page order.
     Items without an address are dropped; order is 999 when it is not a number."""
     chunks = F.split(F.col(html_col), r"(?i)<li\b[^>]*title\s*=\s*[\"']item[\"'][^>]*>", -1)
-    items = F.slice(chunks, F.lit(2), F.greatest(F.size(chunks) - 1, F.lit(0)))
     item = F.col("_item")
-    rows = df.select(*keep, F.posexplode(items).alias("pos", "_item")).filter(
-        item.rlike(r"(?is)<a\b[^>]*\shref\s*=\s*[\"'][^\"']")
-    )
+    # the outer form, and no slice: for a test of the array's size the page would be split again. What stands before
+    # the first item is chunk 0; the NULL of an empty page has no address.
+    rows = df.select(*keep, F.posexplode_outer(chunks).alias("_chunk", "_item")).filter(
+        (F.col("_chunk") > 0) & item.rlike(r"(?is)<a\b[^>]*\shref\s*=\s*[\"'][^\"']")
+    ).withColumn("pos", F.col("_chunk") - 1)
     field = lambda title: unescape(strip(
         F.regexp_extract(item, rf"(?is)<li\b[^>]*title\s*=\s*[\"']{title}[\"'][^>]*>([^<]*)", 1)
     ))
