@@ -17,6 +17,15 @@ def plan(df):
     return df._jdf.queryExecution().optimizedPlan().toString()
 
 
+def orders(spark, tmp_path, n=20):
+    spark.range(n).select(
+        F.col("id").alias("o_orderkey"), F.lit(1).cast("bigint").alias("o_custkey"),
+        F.lit(datetime.datetime(2001, 2, 3)).alias("o_orderdate"), F.lit("1-URGENT").alias("o_orderpriority"),
+    ).coalesce(1).write.parquet(str(tmp_path / "orders.parquet"))
+    spark.range(n).select(F.col("id").alias("doc_id"), F.lit("x").alias("text")).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    return str(tmp_path)
+
+
 def test_bodies_are_parsed_once_for_all_choices(spark):
     ids = ["32001R0001", "02001R0001-20020101", "52001PC0002"]
     bodies = spark.createDataFrame(
@@ -29,3 +38,28 @@ def test_bodies_are_parsed_once_for_all_choices(spark):
         ("02001R0001-20020101", "02001R0001-20020101", "main", 6), ("02001R0001-20020101", "32001R0001", "main", 1),
         ("32001R0001", "32001R0001", "main", 7), ("52001PC0002", "52001PC0002", "annex", 4), ("52001PC0002", "52001PC0002", "main", 3),
     ]
+
+
+def test_notices_and_facts_are_read_once_by_a_build(spark):
+    at = F.col("id").cast("string")
+    notices = spark.range(2).select(
+        F.concat(F.lit("32001R000"), at).alias("celex_id"), F.concat(F.lit("Notice "), at).alias("notice_title"),
+        F.lit(datetime.date(2001, 1, 2)).alias("notice_date"),
+    )
+    facts = spark.range(1, 3).select(
+        F.concat(F.lit("32001R000"), at).alias("celex_id"), F.when(F.col("id") == 1, "Graph").alias("title"),
+        F.lit(datetime.date(2001, 3, 4)).alias("date"),
+    )
+    bodies = spark.createDataFrame([("32001R0002", "main", "html", PAGE)], "celex_id string, role string, fmt string, body string")
+    ids = spark.createDataFrame([(f"32001R000{i}",) for i in range(3)], "celex_id string")
+    job = JobSpec(data=ListSpec(celex_ids=frozenset({"32001R0001"})))
+    works = build_dataset(Inputs(manifestations=bodies, properties=facts, notices=notices), job, ids)["works"]
+    assert "Range" not in plan(works)
+    assert [tuple(r) for r in works.orderBy("celex_id").select("title", "date_adopted").collect()] == [
+        ("Notice 0", datetime.date(2001, 1, 2)), ("Graph", datetime.date(2001, 3, 4)), ("[Unavailable]", datetime.date(2001, 3, 4))]
+
+
+def test_notices_are_spread(spark, tmp_path):
+    found = I.notices(spark, orders(spark, tmp_path))
+    assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert found.count() == 20
