@@ -63,3 +63,9 @@ def test_notices_are_spread(spark, tmp_path):
     found = I.notices(spark, orders(spark, tmp_path))
     assert found.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
     assert found.count() == 20
+
+
+def test_bodies_are_listed_behind_the_join_with_the_pages(spark, tmp_path):
+    found = I.manifestations(spark, orders(spark, tmp_path))
+    assert plan(found).index("Generate inline") < plan(found).index("Join ")
+    assert found.groupBy("celex_id", "role", "fmt").count().filter("count > 1").isEmpty() and found.count() == 15 + 16 + 3
