@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lexspark.functions.markup import loose_tags
 from lexspark.functions.text import normalize_text
 from lexspark.operators.tokens import html_tokens
 from lexspark.operators.units import ALL_TYPES, RECITAL_CLASS, element_table, extract_manual, extract_units, units_from_elements
@@ -69,3 +70,14 @@ def test_only_wanted_elements_are_put_together(spark):
 def test_single_spaces_stay(spark):
     df = spark.createDataFrame([(" a  b  c\td e , f \n",)], "t string")
     assert df.select(normalize_text(F.col("t"))).first()[0] == "a b c d e, f"
+
+
+def test_a_leaf_text_is_cut_out_once_and_decoded_once(spark):
+    df = pages(spark, [(1, "plain", "<p>a &amp; b</p>")])
+    plan = html_tokens(df, KEYS, "html", loose=True, alone=F.lit(True))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("substring_index(") == 2  # the text before the end tag, behind the start tag
+
+
+def test_pages_are_lowered_for_their_tag_names_alone(spark):
+    got = lambda html: spark.createDataFrame([(html,)], "h string").select(loose_tags(F.col("h"))).collect()[0][0]
+    assert got("<p>É X</P><DIV a='B'></div>") == [] and got("<P>É") == ["p"] and got("<K>x</k>") == [] and got("<i É>É</i><I>") == ["i"]
