@@ -18,13 +18,15 @@ from __future__ import annotations
 
 import json
 import zlib
-from array import array
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from itertools import chain, repeat
+from itertools import chain, compress, repeat
+from operator import attrgetter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark import TaskContext
@@ -122,6 +124,36 @@ class WordEncoder:
             return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
         return self.pre.findall(text)
 
+    def units(self, texts: list[str]) -> tuple[pa.LargeStringArray, np.ndarray]:
+        """What `cut` gives for all texts in turn, and the number of each text. Cuts are found in the bytes of all texts at
+        once. A text goes through `cut` itself if it holds a special string, or a white space or control character that is no
+        single space or line end between words, or a character that begins like a wide space."""
+        raw = [t.encode("utf-8") for t in texts]
+        lens = np.fromiter(map(len, raw), np.int64, len(raw))
+        ends = np.cumsum(lens)
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        low = np.flatnonzero(data <= 32)
+        kind = data[low]
+        wide = np.flatnonzero((data == 0xC2) | ((data >= 0xE1) & (data <= 0xE3)))
+        odd = low[(kind != 32) & (kind != 10)], low[1:][np.diff(low) == 1], wide
+        by_itself = np.isin(data[np.r_[ends - lens, ends - 1][np.r_[lens, lens] > 0]], (10, 32)).any()
+        slow = np.zeros(len(raw), bool)
+        slow[np.searchsorted(ends, np.concatenate(odd), "right")] = True
+        if by_itself:
+            slow |= np.fromiter((t[:1] in (" ", "\n") or t[-1:] in (" ", "\n") for t in texts), bool, len(texts))
+        slow |= np.fromiter((any(s in t for s in self.specials) for t in texts), bool, len(texts))
+        if slow.any():
+            keep = ~slow[np.searchsorted(ends, low, "right")]
+            low, kind = low[keep], kind[keep]
+        marks = [(ends - lens)[lens > 0], low, low[kind == 10] + 1]
+        for i in np.flatnonzero(slow).tolist():
+            sizes = np.fromiter((len(u.encode("utf-8")) for u in self.cut(texts[i])), np.int64)
+            marks.append(ends[i] - lens[i] + np.cumsum(sizes)[:-1])
+        starts = np.sort(np.concatenate(marks), kind="stable")
+        bounds = np.append(starts, len(data))
+        cut = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data))
+        return cut, np.diff(np.searchsorted(starts, np.r_[0, ends]))
+
     def letters_of(self, words: list[str]) -> list[str]:
         """Each pre-token in the letters of the model."""
         if any("\n" in w for w in words):
@@ -130,25 +162,28 @@ class WordEncoder:
 
     def remember(self, words: list[str]) -> None:
         """Ids of new pre-tokens, or of new whole texts."""
-        ids, sizes = array("I"), []
-        for w in words if words[0] in self.whole else self.letters_of(words):
-            found = self.tokenizer.encode(w, add_special_tokens=False).ids if w in self.whole else [t.id for t in self.tokenize(w)]
-            ids.extend(found)
-            sizes.append(len(found))
-        self.words.add(words, np.frombuffer(ids, np.uint32), np.array(sizes, np.int64))
+        ids, sizes = [], []
+        if words[0] in self.whole:
+            for w in words:
+                ids.append(np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.uint32))
+                sizes.append(np.array([len(ids[-1])], np.int64))
+        else:
+            letters = self.letters_of(words)
+            for a in range(0, len(letters), 10_000):
+                found = [*map(self.tokenize, letters[a:a + 10_000])]
+                ids.append(np.fromiter(map(attrgetter("id"), chain.from_iterable(found)), np.uint32))
+                sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+        self.words.add(words, np.concatenate(ids), np.concatenate(sizes))
 
     def learn(self, new: set[str]) -> None:
         """Remember units not met before. Runs of ASCII letters are pre-tokens; other units are cut in one call with a line
         end between them, which beside non-space is always a pre-token of its own."""
         names = self.words.names
-        plain, blank, units = [], {"\n"}, []
-        for u in new.difference(self.whole):
-            if u.isascii() and (u.isalpha() or u[0] == " " and u[1:].isalpha()):
-                plain.append(u)
-            elif u.isspace():
-                blank.add(u)
-            else:
-                units.append(u)
+        fresh = [*new.difference(self.whole)]
+        alone = pc.match_substring_regex(pa.array(fresh, pa.large_string()), "^ ?[A-Za-z]+$").to_pylist()
+        plain, units = [*compress(fresh, alone)], [u for u, known in zip(fresh, alone) if not known]
+        blank = {"\n"}.union(filter(str.isspace, units))
+        units = [u for u in units if u not in blank]
         parts = self.pre.findall("\n".join(units))
         for fresh in (new & self.whole, blank - names.keys(), set(plain).union(parts) - names.keys() - {"\n"}):
             if fresh:
@@ -167,15 +202,16 @@ class WordEncoder:
         """All ids in order, and the number of each text."""
         if self.words.held > MEMO or self.whole:
             self.words, self.whole = Pool(), set()
-        cut = [self.cut(t) for t in texts]
-        number = np.fromiter(map(len, cut), np.int64, len(cut))
-        units = list(chain.from_iterable(cut))
+        cut, number = self.units(texts)
+        coded = cut.dictionary_encode()
+        units = coded.dictionary.to_pylist()
         where = np.fromiter(map(self.words.names.get, units, repeat(-1)), np.int64, len(units))
         missing = np.flatnonzero(where < 0)
         if len(missing):
             late = [units[i] for i in missing.tolist()]
             self.learn(set(late))
             where[missing] = np.fromiter(map(self.words.names.__getitem__, late), np.int64, len(late))
+        where = where[coded.indices.to_numpy()]
         ids, sizes = self.words.of(where)
         sums, ends = np.r_[0, np.cumsum(sizes)], np.cumsum(number)
         return ids, sums[ends] - sums[ends - number]

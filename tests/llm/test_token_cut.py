@@ -39,3 +39,16 @@ def test_other_settings_are_refused(tmp_path, key, value):
     for read in (Merges.from_json, token_files.WordEncoder):
         with pytest.raises(ValueError):
             read(str(path))
+
+
+def test_units_of_a_batch_are_those_of_each_text():
+    encoder = token_files.WordEncoder(VOCABULARY)
+    texts = ["a b\nc d.", "", " a", "a ", "\na", "a\n", "a  b", "a \n b", "a\tb c", "a\0b", "x\x01y z", "é à\nü", "a b", "a b c",
+             "“q” r", "　", " ", "\n", "one", "a\x1cb", "b <|endoftext|> c", "漢 字\n、", "€ 5"]
+    for batch in (texts, texts[:1], [""], ["", "a b", ""], [" ", " "]):
+        cut, number = encoder.units(batch)
+        assert number.tolist() == [len(encoder.cut(t)) for t in batch]
+        assert cut.to_pylist() == [u for t in batch for u in encoder.cut(t)]
+    ids, sizes = encoder.encode(texts)
+    want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
