@@ -17,16 +17,17 @@ gives an empty file; extra columns are never read.
 from __future__ import annotations
 
 import json
+import os
 import zlib
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
-from itertools import chain, compress, repeat
+from functools import lru_cache
+from itertools import chain, compress, pairwise, repeat
 from operator import attrgetter
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark import TaskContext
@@ -78,31 +79,113 @@ def chunk_ids(planes: list[bytes], n: int, width: int) -> np.ndarray:
 class Pool:
     """Named runs of ids."""
 
-    names: dict[str, int] = field(default_factory=dict)
+    names: dict[bytes, int] = field(default_factory=dict)
     ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint32))
     starts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
     sizes: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    again: np.ndarray = field(default_factory=lambda: np.zeros(0, bool))  # found since it was added or last kept
     held: int = 0  # bytes, about
 
-    def add(self, names: list[str], ids: np.ndarray, sizes: np.ndarray) -> None:
+    def add(self, names: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
         self.names.update(zip(names, range(len(self.names), len(self.names) + len(names))))
         self.starts = np.r_[self.starts, len(self.ids) + np.cumsum(sizes) - sizes]
         self.sizes = np.r_[self.sizes, sizes]
         self.ids = np.r_[self.ids, ids.astype(np.uint32)]
-        self.held += sum(map(len, names)) + 4 * len(ids) + 100 * len(names)
+        self.again = np.r_[self.again, np.zeros(len(names), bool)]
+        self.held += sum(map(len, names)) + 4 * len(ids) + 150 * len(names)
+
+    def find(self, names: list[bytes]) -> np.ndarray:
+        """The number of each name, or -1."""
+        where = np.fromiter(map(self.names.get, names, repeat(-1)), np.int64, len(names))
+        self.again[where[where >= 0]] = True
+        return where
 
     def of(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the runs in turn, and their sizes."""
         sizes = self.sizes[which]
         return self.ids[ragged(self.starts[which], sizes)], sizes
 
+    def kept(self) -> Pool:
+        """A new pool of the runs found again."""
+        pool = Pool()
+        pool.add([*compress(self.names, self.again.tolist())], *self.of(np.flatnonzero(self.again)))
+        return pool
+
+
+def bytes_of(strings: pa.LargeStringArray) -> list[bytes]:
+    if not len(strings):
+        return []
+    _, bounds, data = strings.buffers()
+    data = data.to_pybytes()
+    return [data[a:b] for a, b in pairwise(np.frombuffer(bounds, np.int64, len(strings) + 1, 8 * strings.offset).tolist())]
+
+
+#: What the pre-token pattern tells apart.
+SPACE, LETTER, DIGIT, OTHER = range(4)
+KINDS = regex.compile(r"(\s)|(\p{L})|(\p{N})|(.)", regex.DOTALL)
+
+
+def kinds_of(chars: str) -> np.ndarray:
+    return np.fromiter((m.lastindex - 1 for m in KINDS.finditer(chars)), np.uint8, len(chars))
+
+
+#: Of each byte that is a character; the bytes of the others are looked up as a whole.
+BYTE_KIND = np.r_[kinds_of("".join(map(chr, range(128)))), np.full(128, OTHER, np.uint8)]
+
+
+def byte_kinds(data: np.ndarray) -> np.ndarray:
+    """The kind of the character that each byte of UTF-8 belongs to."""
+    kind = BYTE_KIND[data]
+    for begin in range(0, len(data), 1 << 22):  # bounds the memory of one long text
+        lead = begin + np.flatnonzero(data[begin:begin + (1 << 22)] >= 0xC0)
+        if not len(lead):
+            continue
+        size = 2 + (data[lead] >= 0xE0) + (data[lead] >= 0xF0).astype(np.int64)
+        char = data[lead].astype(np.uint32)
+        for k in (1, 2, 3):
+            long = size > k
+            char[long] = char[long] << 8 | data[lead[long] + k]
+        distinct, which = np.unique(char, return_inverse=True)
+        mine = kinds_of(b"".join(c.to_bytes(4, "big").lstrip(b"\0") for c in distinct.tolist()).decode("utf-8"))[which]
+        for k in range(4):
+            long = size > k
+            kind[lead[long] + k] = mine[long]
+    return kind
+
+
+def pre_token_starts(data: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Where the matches of PRE_TOKEN begin in the bytes of several texts that begin at heads."""
+    kind = byte_kinds(data)
+    head = np.zeros(len(data) + 3, bool)
+    head[heads] = True
+    new = head[:len(data)].copy()
+    new[1:] |= (kind[1:] != kind[:-1]) & (data[:-1] != 32)  # a space goes with what follows
+    # the last of several white space characters, if more text follows, is cut off
+    space = kind == SPACE
+    last = 1 + np.flatnonzero(space[:-2] & space[1:-1] & ~space[2:])
+    last = last[~head[last + 1]]
+    for _ in range(3):  # to its first byte
+        last = last - ((data[last] & 0xC0) == 0x80)
+    new[last] = True
+    # 's, 't, 'm, 'd, 're, 've, 'll after anything but a space or a character of the apostrophe's kind
+    mark = np.flatnonzero(data == ord("'"))
+    mark = mark[new[mark]]
+    after = np.r_[data, np.zeros(3, np.uint8)]
+    one, two = after[mark + 1], after[mark + 2]
+    short = np.isin(one, [*b"stmd"]) & ~head[mark + 1]
+    long = (np.isin(one, [*b"rv"]) & (two == ord("e")) | (one == ord("l")) & (two == ord("l"))) & ~head[mark + 1] & ~head[mark + 2]
+    new[mark[short | long] + 1] = False
+    rest = np.r_[mark[short] + 2, mark[long] + 3]
+    new[rest[rest < len(data)]] = True
+    return np.flatnonzero(new)
+
 
 @dataclass
 class WordEncoder:
-    """Encodes whole texts with a byte-level file of the tokenizers library. Where white space is single spaces and line
-    ends between words, a text is cut there, since pre-tokens never cross such a cut; else with the fixed pre-token pattern
-    of such files. Each new unit is cut into pre-tokens, each new pre-token goes through the library's merge model once, and
-    both are remembered, in up to MEMO bytes. A text that holds a special string goes to the library as it is."""
+    """Encodes whole texts with a byte-level file of the tokenizers library. The matches of the fixed pre-token pattern of
+    such files are found in the bytes of all texts at once; each new one goes through the library's merge model once and is
+    remembered. At more than MEMO bytes only those met again stay. A text that holds a special string goes to the library
+    as it is."""
 
     path: str
 
@@ -114,102 +197,57 @@ class WordEncoder:
         self.pre = regex.compile(PRE_TOKEN)
         self.letters = dict(enumerate(byte_letters()))
         self.tokenize = self.tokenizer.model.tokenize
-        self.words, self.whole = Pool(), set()
+        self.words = Pool()
+
+    def whole(self, text: str) -> bool:
+        return any(s in text for s in self.specials)
 
     def cut(self, text: str) -> list[str]:
-        if any(s in text for s in self.specials):
-            self.whole.add(text)
-            return [text]
-        if text and "\0" not in text and " ".join(text.split()) == text.replace("\n", " "):
-            return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
-        return self.pre.findall(text)
+        return [text] if self.whole(text) else self.pre.findall(text)
 
     def units(self, texts: list[str]) -> tuple[pa.LargeStringArray, np.ndarray]:
-        """What `cut` gives for all texts in turn, and the number of each text. Cuts are found in the bytes of all texts at
-        once. A text goes through `cut` itself if it holds a special string, or a white space or control character that is no
-        single space or line end between words, or a character that begins like a wide space."""
+        """What `cut` gives for all texts in turn, and the number of each text."""
         raw = [t.encode("utf-8") for t in texts]
         lens = np.fromiter(map(len, raw), np.int64, len(raw))
         ends = np.cumsum(lens)
         data = np.frombuffer(b"".join(raw), np.uint8)
-        low = np.flatnonzero(data <= 32)
-        kind = data[low]
-        wide = np.flatnonzero((data == 0xC2) | ((data >= 0xE1) & (data <= 0xE3)))
-        odd = low[(kind != 32) & (kind != 10)], low[1:][np.diff(low) == 1], wide
-        by_itself = np.isin(data[np.r_[ends - lens, ends - 1][np.r_[lens, lens] > 0]], (10, 32)).any()
-        slow = np.zeros(len(raw), bool)
-        slow[np.searchsorted(ends, np.concatenate(odd), "right")] = True
-        if by_itself:
-            slow |= np.fromiter((t[:1] in (" ", "\n") or t[-1:] in (" ", "\n") for t in texts), bool, len(texts))
-        slow |= np.fromiter((any(s in t for s in self.specials) for t in texts), bool, len(texts))
-        if slow.any():
-            keep = ~slow[np.searchsorted(ends, low, "right")]
-            low, kind = low[keep], kind[keep]
-        marks = [(ends - lens)[lens > 0], low, low[kind == 10] + 1]
-        for i in np.flatnonzero(slow).tolist():
-            sizes = np.fromiter((len(u.encode("utf-8")) for u in self.cut(texts[i])), np.int64)
-            marks.append(ends[i] - lens[i] + np.cumsum(sizes)[:-1])
-        starts = np.sort(np.concatenate(marks), kind="stable")
+        heads = (ends - lens)[lens > 0]
+        starts = pre_token_starts(data, heads)
+        whole = np.fromiter(map(self.whole, texts), bool, len(texts))
+        if whole.any():
+            starts = starts[~whole[np.searchsorted(ends, starts, "right")] | np.isin(starts, heads)]
         bounds = np.append(starts, len(data))
-        cut = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(bounds.astype(np.int64)), pa.py_buffer(data))
+        cut = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(bounds), pa.py_buffer(data))
         return cut, np.diff(np.searchsorted(starts, np.r_[0, ends]))
 
-    def letters_of(self, words: list[str]) -> list[str]:
-        """Each pre-token in the letters of the model."""
-        if any("\n" in w for w in words):
-            return [w.encode("utf-8").decode("latin-1").translate(self.letters) for w in words]
-        return "\n".join(words).encode("utf-8").decode("latin-1").translate(self.letters).split(self.letters[10])
-
-    def remember(self, words: list[str]) -> None:
-        """Ids of new pre-tokens, or of new whole texts."""
-        ids, sizes = [], []
-        if words[0] in self.whole:
-            for w in words:
-                ids.append(np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.uint32))
-                sizes.append(np.array([len(ids[-1])], np.int64))
-        else:
-            letters = self.letters_of(words)
-            for a in range(0, len(letters), 10_000):
-                found = [*map(self.tokenize, letters[a:a + 10_000])]
-                ids.append(np.fromiter(map(attrgetter("id"), chain.from_iterable(found)), np.uint32))
-                sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
-        self.words.add(words, np.concatenate(ids), np.concatenate(sizes))
-
-    def learn(self, new: set[str]) -> None:
-        """Remember units not met before. Runs of ASCII letters are pre-tokens; other units are cut in one call with a line
-        end between them, which beside non-space is always a pre-token of its own."""
-        names = self.words.names
-        fresh = [*new.difference(self.whole)]
-        alone = pc.match_substring_regex(pa.array(fresh, pa.large_string()), "^ ?[A-Za-z]+$").to_pylist()
-        plain, units = [*compress(fresh, alone)], [u for u, known in zip(fresh, alone) if not known]
-        blank = {"\n"}.union(filter(str.isspace, units))
-        units = [u for u in units if u not in blank]
-        parts = self.pre.findall("\n".join(units))
-        for fresh in (new & self.whole, blank - names.keys(), set(plain).union(parts) - names.keys() - {"\n"}):
-            if fresh:
-                self.remember(list(fresh))
-        where = np.fromiter(map(names.__getitem__, parts), np.int64, len(parts))
-        gaps = np.flatnonzero(where == names["\n"])
-        sizes = np.diff(np.r_[-1, gaps, len(where)]) - 1
-        several = np.flatnonzero(sizes > 1)  # the others are pre-tokens themselves
-        if len(several):
-            starts = np.r_[0, gaps + 1][several]
-            ids, lens = self.words.of(where[ragged(starts, sizes[several])])
-            sums, stop = np.r_[0, np.cumsum(lens)], np.cumsum(sizes[several])
-            self.words.add([units[i] for i in several], ids, sums[stop] - sums[stop - sizes[several]])
+    def learn(self, new: list[bytes], whole: set[bytes]) -> None:
+        """Remember pre-tokens, or whole texts, not met before."""
+        texts = [*whole.intersection(new)]
+        ids = [np.array(self.tokenizer.encode(t.decode("utf-8"), add_special_tokens=False).ids, np.uint32) for t in texts]
+        sizes = [np.fromiter(map(len, ids), np.int64, len(ids))]
+        words = [w for w in new if w not in whole] if whole else new
+        letters = b"".join(words).decode("latin-1").translate(self.letters)  # those of the model
+        ends = np.cumsum([0, *map(len, words)]).tolist()
+        for k in range(0, len(words), 1000):
+            found = [self.tokenize(letters[a:b]) for a, b in pairwise(ends[k:k + 1001])]
+            ids.append(np.fromiter(map(attrgetter("id"), chain.from_iterable(found)), np.uint32))
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+        self.words.add(texts + words, np.concatenate(ids), np.concatenate(sizes))
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in order, and the number of each text."""
-        if self.words.held > MEMO or self.whole:
-            self.words, self.whole = Pool(), set()
+        if self.words.held > MEMO:
+            self.words = self.words.kept()
+            if self.words.held > MEMO / 2:
+                self.words = Pool()
         cut, number = self.units(texts)
         coded = cut.dictionary_encode()
-        units = coded.dictionary.to_pylist()
-        where = np.fromiter(map(self.words.names.get, units, repeat(-1)), np.int64, len(units))
+        names = bytes_of(coded.dictionary)
+        where = self.words.find(names)
         missing = np.flatnonzero(where < 0)
         if len(missing):
-            late = [units[i] for i in missing.tolist()]
-            self.learn(set(late))
+            late = [names[i] for i in missing.tolist()]
+            self.learn(late, {t.encode("utf-8") for t in texts if self.whole(t)})
             where[missing] = np.fromiter(map(self.words.names.__getitem__, late), np.int64, len(late))
         where = where[coded.indices.to_numpy()]
         ids, sizes = self.words.of(where)
@@ -217,11 +255,17 @@ class WordEncoder:
         return ids, sums[ends] - sums[ends - number]
 
 
+@lru_cache(maxsize=1)
+def shared_encoder(path: str, changed: int) -> WordEncoder:
+    """One encoder for all tasks of a worker, with what it remembers, as long as the file is not changed."""
+    return WordEncoder(path)
+
+
 def write_tokens(docs: DataFrame, vocabulary: str, path: str, end_id: int = 0, bits: bool = False) -> None:
     """Write the files below path: `chunks` and `index`."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encoder, shard, chunk = WordEncoder(vocabulary), TaskContext.get().partitionId(), 0
+        encoder, shard, chunk = shared_encoder(vocabulary, os.stat(vocabulary).st_mtime_ns), TaskContext.get().partitionId(), 0
         for pdf in batches:
             texts, keys = pdf["text"].tolist(), pdf["doc_id"].tolist()
             for a, b in slices([len(t) for t in texts], BATCH_CHARS):

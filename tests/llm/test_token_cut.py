@@ -52,3 +52,41 @@ def test_units_of_a_batch_are_those_of_each_text():
     ids, sizes = encoder.encode(texts)
     want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
     assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+
+
+def test_words_are_remembered_apart_from_marks():
+    encoder = token_files.WordEncoder(VOCABULARY)
+    texts = ["tree, tree. tree!", "tree? tree don't", "don't", "", "we'll we 'll o'", "s"]
+    ids, sizes = encoder.encode(texts)
+    want = [encoder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sizes.tolist() == [len(w) for w in want] and ids.tolist() == [i for w in want for i in w]
+    assert set(encoder.words.names) == {m.encode() for t in texts for m in encoder.pre.findall(t)}
+
+
+def test_apostrophes_and_white_space_at_the_ends_of_texts():
+    encoder = token_files.WordEncoder(VOCABULARY)
+    rnd = random.Random(4)
+    letters = [" ", "\n", "　", "\x85", "'", "s", "r", "e", "v", "l", "é", "1", "."]
+    texts = ["".join(rnd.choices(letters, k=rnd.randint(0, 6))) for _ in range(20_000)]
+    cut, number = encoder.units(texts)
+    assert number.tolist() == [len(encoder.pre.findall(t)) for t in texts]
+    assert cut.to_pylist() == [m for t in texts for m in encoder.pre.findall(t)]
+
+
+def test_what_is_met_again_outlives_a_full_memory(monkeypatch):
+    encoder = token_files.WordEncoder(VOCABULARY)
+    encoder.encode(["one two three", "x <|endoftext|>"])
+    first, _ = encoder.encode(["one two"])
+    monkeypatch.setattr(token_files, "MEMO", encoder.words.held - 1)
+    again, _ = encoder.encode(["one two"])
+    assert set(encoder.words.names) == {b"one", b" two"} and again.tolist() == first.tolist()
+    late, _ = encoder.encode(["three one four"])
+    assert late.tolist() == encoder.tokenizer.encode("three one four", add_special_tokens=False).ids
+
+
+def test_tasks_of_a_worker_share_what_they_learned(tmp_path):
+    path = tmp_path / "v.json"
+    path.write_bytes(open(VOCABULARY, "rb").read())
+    one = token_files.shared_encoder(str(path), 1)
+    assert token_files.shared_encoder(str(path), 1) is one
+    assert token_files.shared_encoder(str(path), 2) is not one
