@@ -31,8 +31,9 @@ def html_titles(manifestations: DataFrame, wanted: DataFrame | None = None) -> D
     # inline, not a filter: a filter would be pushed below the pruning
     pages = by_key(pages.select("celex_id", F.inline(F.when(reads_as_xhtml(F.col("body")), F.array(F.struct("body"))))), keys)
     if wanted is not None:
-        # same partitioning on both sides, which the join keeps for the tokens
-        pages = pages.join(by_key(wanted.select("celex_id"), keys), "celex_id", "left_semi")
+        # same partitioning on both sides, which the join keeps for the tokens. Not a left-semi join: the optimizer moves one
+        # below the pruning, and then all pages are shuffled
+        pages = pages.join(by_key(wanted.select("celex_id"), keys).distinct(), "celex_id")
     pages = pages.groupBy("celex_id").agg(F.min_by("body", body_mark(F.col("body"))).alias("body"))
     pages = pages.withColumn("html", flatten_wrappers(F.col("body")))
     tokens = with_levels(html_tokens(pages, keys, "html", partitioned=True, loose=True), keys)

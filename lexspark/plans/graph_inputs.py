@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexspark.model import P_ALT_LABEL, P_CONCEPT, P_DOSSIER, P_IN_SCHEME, P_PREF_LABEL
+from lexspark.model import P_ALT_LABEL, P_CONCEPT, P_DOSSIER, P_IN_SCHEME, P_PREF_LABEL, RELATION_PREDICATES
 from lexspark.operators.graph import relation_edges, star_facts
 from lexspark.operators.scale import materialize
 from lexspark.plans.dataset import Inputs
@@ -20,7 +20,7 @@ def inputs_from_graph(
 
     The facts of works, expressions and dossiers come from one fold (see
     ``star_facts``), which is narrow and written once; only edges are joined
-    with it. ``properties`` has one row per document and date, since a search by
+    with it, and the relations made of them are written once too. ``properties`` has one row per document and date, since a search by
     date takes a work in by any of its dates; the build keeps the greatest value
     of each field. A work without a document id is left out, and so is an edge
     to one. Titles are those of expressions in the language.
@@ -39,10 +39,18 @@ def inputs_from_graph(
         rows = triples.filter(F.col("p") == predicate).select("s", F.col("o").alias(name))
         return rows.join(ids, "s").select("celex_id", name).distinct()
 
+    # renamed alike, so that both joins read one shuffle of the ids
     targets = ids.withColumnsRenamed({"s": "target", "celex_id": "celex_target"})
-    relations = relation_edges(triples).join(targets, "target").join(
-        ids.withColumnRenamed("celex_id", "celex_source"), "s"
-    ).select("celex_source", "celex_target", "relation_type").distinct()
+    sources = ids.withColumnsRenamed({"s": "source", "celex_id": "celex_source"})
+    # the type travels as a number. Rows come from the second join in order of their subject and are dealt out by it, so that
+    # neighbours are alike and take little disk; equal rows meet. Written once: relations and adopts both read them
+    kinds = F.array(*[F.lit(t) for t in RELATION_PREDICATES.values()])
+    kind = F.array_position(kinds, F.col("relation_type")).cast("int").alias("_kind")
+    coded = relation_edges(triples).select(F.col("s").alias("source"), kind, "target")
+    pairs = coded.join(targets, "target").join(sources, "source").select("celex_source", "celex_target", "_kind")
+    relations = materialize(pairs.repartition("celex_source").distinct().select(
+        "celex_source", "celex_target", F.element_at(kinds, F.col("_kind")).alias("relation_type")
+    ))
     refs = star.select(F.col("s").alias("dossier"), F.explode("refs").alias("ref"))
     return Inputs(
         manifestations=manifestations,
